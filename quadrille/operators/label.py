@@ -175,7 +175,7 @@ def one_hot(labelled: DataFrame) -> DataFrame:
 
 def one_hot_array(labelled: DataFrame, classes: int) -> DataFrame:
     """Dense one-hot rows ``(id, label)``."""
-    zeros = f"transform(sequence(0, {classes - 1}), i -> cast(i = class_idx as float))"
+    zeros = f"transform(sequence(0, {classes - 1}), _i -> cast(_i = class_idx as float))"
     return labelled.where("class_idx is not null").select("id", F.expr(zeros).alias("label"))
 
 
@@ -184,7 +184,7 @@ def dense_labels(sparse: DataFrame, classes: int) -> DataFrame:
     entries = sparse.groupBy("id").agg(
         F.map_from_entries(F.collect_list(F.struct("class_idx", "weight"))).alias("_w")
     )
-    dense = f"transform(sequence(0, {classes - 1}), i -> coalesce(_w[i], 0F))"
+    dense = f"transform(sequence(0, {classes - 1}), _i -> coalesce(_w[_i], 0F))"
     return entries.select("id", F.expr(dense).alias("label"))
 
 
