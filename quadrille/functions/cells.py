@@ -48,7 +48,8 @@ def slot_sql(value: str, low: float, span: float, slots: int, missing: int) -> s
         f"{guess} + case when {value} < {low}D + {span}D * {guess} / {slots}D then -1"
         f" when {value} >= {low}D + {span}D * ({guess} + 1) / {slots}D then 1 else 0 end"
     )
-    return f"cast(case when isnan({value}) then {missing} else greatest(least({fixed}, {top}), 0) end as int)"
+    placed = f"when isnan({value}) then {missing} else greatest(least({fixed}, {top}), 0)"
+    return f"cast(case when {value} is null then null {placed} end as int)"
 
 
 def row_sql(latitude: str, depth: int) -> str:

@@ -61,7 +61,7 @@ def with_catalog(grouped: DataFrame, catalog: DataFrame) -> DataFrame:
 def fetch_through_catalog(
     shards: DataFrame, catalog: DataFrame, requests: DataFrame, *, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Rows of the requested indices from a table partitioned by ``shard``, in request order.
+    """Rows of the requested indices from a table partitioned by ``shard``, in request order (``pos``).
 
     The as-of join names the shards in question; when they are few they go into the scan as a partition
     filter, so other shards are not opened.
@@ -72,4 +72,4 @@ def fetch_through_catalog(
     if len(names) <= NAMED_SHARDS:
         shards = shards.where(F.col("shard").isin(names)) if names else shards.limit(0)
     side = F.broadcast(wanted) if fits_broadcast(wanted, max_bytes) else wanted
-    return shards.join(side, ["shard", "id"]).orderBy("pos")
+    return shards.drop("pos").join(side, ["shard", "id"]).orderBy("pos")

@@ -19,10 +19,10 @@ from quadrille.functions.cells import (
 )
 from quadrille.functions.geo import GREAT_CIRCLE_RADIUS_KM, great_circle_km, normal_pdf
 from quadrille.operators.points import in_box
-from quadrille.operators.quadtree import is_prefix_free
 from quadrille.plans.asof import asof_backward
+from quadrille.plans.durable import pin
 from quadrille.plans.salting import salted_join
-from quadrille.plans.sizing import BROADCAST_BYTES, fits_broadcast
+from quadrille.plans.sizing import BROADCAST_BYTES, ROW_OVERHEAD, fits_broadcast
 
 #: Standard deviation of the smoothing weight, km.
 SMOOTHING_STD_KM = 20.0
@@ -41,42 +41,88 @@ def with_cell(
     leaves: DataFrame,
     *,
     strategy: str = "auto",
-    validate: bool = False,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Adds ``cell``, ``class_idx`` and ``cut`` of the enclosing leaf; NULL where no leaf encloses the point.
 
-    ``leaves`` is ``(cell, class_idx[, cut])`` and free of prefixes, so a point has one leaf at most. Leaves
-    measured to fit are looked up by one broadcast hash table, probed once per depth in use: no shuffle and
-    no extra rows, also on a stream. Otherwise leaves become intervals of the space-filling curve and meet
-    the points in a sorted as-of merge.
+    ``leaves`` is ``(cell, class_idx[, cut])``; a set in which one cell encloses another is refused. Tiles
+    measured to fit are looked up in one broadcast hash table: no shuffle, no row is written twice, and it
+    works on a stream. Otherwise leaves become intervals of the space-filling curve and meet the points in a
+    sorted as-of merge.
     """
     if strategy not in ("auto", "broadcast", "merge"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if validate and not is_prefix_free(leaves):
-        raise ValueError("a cell of the set encloses another one")
     cut = F.col("cut") if "cut" in leaves.columns else F.lit(False)
     leaves = leaves.select("cell", "class_idx", cut.alias("cut"))
-    depths = sorted(r[0] for r in leaves.select(F.length("cell")).distinct().collect())
     kept = [c for c in points.columns if c not in ("cell", "class_idx", "cut")]
     points = points.select(*kept)
+    tiles = pin(tiling(leaves))
+    depths, size = _survey(tiles)
     if not depths:
         hit = F.lit(None).cast("struct<cell:string,class_idx:int,cut:boolean>")
         return points.select(*kept, hit.alias("_hit")).select(*kept, "_hit.*")
-    if depths[0] == 0:
-        raise ValueError("the world itself is not a leaf")
-    if strategy == "merge" or (strategy == "auto" and not fits_broadcast(leaves, max_bytes)):
-        return _merge_cell(points, leaves, depths[-1])
-    table = leaves.select(path_key("cell").alias("_key"), F.struct("cell", "class_idx", "cut").alias("_hit"))
-    probed = with_slots(points, depths[-1])
-    for depth in depths:
-        # The same build side each time: one broadcast is made and reused.
-        side = table.select(F.col("_key").alias(f"_key{depth}"), F.col("_hit").alias(f"_hit{depth}"))
-        key = slot_key("_row", "_column", depth, depths[-1] - depth)
-        probed = probed.join(F.broadcast(side), key == F.col(f"_key{depth}"), "left").drop(f"_key{depth}")
-    hit = F.coalesce(*(F.col(f"_hit{depth}") for depth in depths))
-    known = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), hit)
-    return probed.select(*kept, known.alias("_hit")).select(*kept, "_hit.*")
+    deepest = max(depths)
+    if strategy == "merge" or (strategy == "auto" and size > max_bytes):
+        return _merge_cell(points, leaves, deepest)
+    table = tiles.select(path_key("tile").alias("_key"), "_hit")
+    # Tiles cover the world without overlap, so exactly one of the keys of a point is in the table: the inner
+    # join keeps every point once. Points without a coordinate go along under the first tile and are blanked.
+    keys = F.array(
+        *(slot_key("coalesce(_row, 0)", "coalesce(_column, 0)", d, deepest - d) for d in sorted(depths))
+    )
+    met = (
+        with_slots(points, deepest)
+        .select(*kept, F.explode(keys).alias("_probe"))
+        .join(F.broadcast(table), F.col("_probe") == F.col("_key"))
+    )
+    known = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.col("_hit"))
+    return met.select(*kept, known.alias("_hit")).select(*kept, "_hit.*")
+
+
+def tiling(leaves: DataFrame) -> DataFrame:
+    """``(tile, _hit, _listed, _above)``: the leaves, and the largest cells that fill the rest of the world.
+
+    Tiles are the children of all cells above a leaf, except those that are above a leaf themselves. One
+    aggregation by path; a leaf above another leaf is kept, so that it can be refused.
+    """
+    hit = F.struct("cell", "class_idx", "cut")
+    above = (
+        leaves.where("length(cell) > 0")
+        .select("cell", F.explode(F.expr("sequence(0, length(cell) - 1)")).alias("_length"))
+        .select(F.expr("substring(cell, 1, _length)").alias("tile"))
+        .distinct()
+    )
+    family = F.array(
+        F.struct(F.col("tile").alias("tile"), F.lit(True).alias("_above")),
+        *(F.struct(F.concat("tile", F.lit(d)).alias("tile"), F.lit(False).alias("_above")) for d in "0123"),
+    )
+    pieces = (
+        above.select(F.inline(family))
+        .withColumn("_hit", F.lit(None).cast(leaves.select(hit).schema[0].dataType))
+        .unionByName(leaves.select(F.col("cell").alias("tile"), F.lit(False).alias("_above"), hit.alias("_hit")))
+    )
+    gathered = pieces.groupBy("tile").agg(
+        F.any_value("_hit", ignoreNulls=F.lit(True)).alias("_hit"),
+        F.count("_hit").alias("_listed"),
+        F.bool_or("_above").alias("_above"),
+    )
+    return gathered.where("not _above or _listed > 0")
+
+
+def _survey(tiles: DataFrame) -> tuple[list[int], int]:
+    """Depths in use and bytes of the lookup table, from one pass that also checks the set of leaves."""
+    rows = (
+        tiles.groupBy(F.length("tile").alias("depth"))
+        .agg(
+            F.count(F.lit(1)),
+            F.coalesce(F.sum(F.octet_length("_hit.cell")), F.lit(0)),
+            F.max((F.col("_above") & (F.col("_listed") > 0)) | (F.col("_listed") > 1)),
+        )
+        .collect()
+    )
+    if any(depth == 0 or wrong for depth, _, _, wrong in rows):
+        raise ValueError("a cell of the set encloses another one, or is the world, or is listed twice")
+    return [row[0] for row in rows], sum(n * (ROW_OVERHEAD + 24) + text for _, n, text, _ in rows)
 
 
 def _merge_cell(points: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:

@@ -196,13 +196,6 @@ def leaf_lookup(cells: DataFrame, classes: DataFrame | None = None) -> DataFrame
     return classes.select("cell", "class_idx", F.lit(False).alias("cut")).unionByName(cut)
 
 
-def is_prefix_free(active: DataFrame) -> bool:
-    """Whether no cell of the set encloses another, checked by the order of paths."""
-    ahead = active.select("cell", F.explode(F.sequence(F.lit(0), F.length("cell") - 1)).alias("_l")).where("_l >= 0")
-    above = ahead.where(F.length("cell") > 0).select(F.expr("substring(cell, 1, _l)").alias("cell")).distinct()
-    return active.join(above, "cell", "left_semi").isEmpty()
-
-
 # --- reports --------------------------------------------------------------------------------------------
 
 

@@ -113,7 +113,9 @@ def remap_indices(indices: DataFrame, excluded: DataFrame, first_id: int, last_i
     hops = ranked.select("id", "pos", (F.col("pos") + F.lit(tail)).alias("target"))
     onward = ranked.select(F.col("id").alias("target"), F.col("pos").alias("next"))
     chain = pin(hops.join(onward, "target", "left").select("id", "pos", "target", "next"))
-    while not chain.where("next is not null").isEmpty():
+    # Only chains that start in front of the tail are asked for, and these end. Exclusions inside the tail may
+    # replace one another in a circle that no index reaches.
+    while not chain.where((F.col("id") < tail) & F.col("next").isNotNull()).isEmpty():
         ahead = chain.select(
             F.col("pos").alias("next"), F.col("target").alias("_target"), F.col("next").alias("_next")
         )

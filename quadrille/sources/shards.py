@@ -184,7 +184,7 @@ def shard_files(
 ) -> DataFrame:
     """``(path, shard, shard_no, bytes)`` of the shard files; ``only`` is a predicate on these columns.
 
-    Listing reads no file content. Natural order is by ``shard_no``.
+    Listing reads no file content and leaves out files of zero bytes. Natural order is by ``shard_no``.
     """
     listed = (
         spark.read.format("binaryFile")
@@ -214,7 +214,7 @@ def read_shards(splits: DataFrame) -> DataFrame:
 
 
 def count_shards(splits: DataFrame) -> DataFrame:
-    """``(shard, n)`` without reading image bytes; empty shards count 0."""
+    """``(shard, n)`` without reading image bytes."""
     tasks = max(1, min(splits.count(), MOST_TASKS))
     counted = splits.repartition(tasks).mapInPandas(_count_records, "shard string, shard_no int, n bigint")
     return counted.groupBy("shard").agg(F.sum("n").alias("n"))
