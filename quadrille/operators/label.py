@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,44 +37,57 @@ _LAT_SQUARES, _LON_SQUARES = 72, 144
 _BOX_SQUARE = 5.0
 
 
+@dataclass(frozen=True)
+class CellLookup:
+    """A checked set of leaves, ready to label any number of frames."""
+
+    leaves: DataFrame
+    tiles: DataFrame
+    depths: tuple[int, ...]
+    size: int
+
+
+def cell_lookup(leaves: DataFrame) -> CellLookup:
+    """Prepares ``(cell, class_idx[, cut])``; a set in which one cell encloses another is refused."""
+    cut = F.col("cut") if "cut" in leaves.columns else F.lit(False)
+    leaves = leaves.select("cell", "class_idx", cut.alias("cut"))
+    tiles = pin(tiling(leaves))
+    depths, size = _survey(tiles)
+    table = tiles.select(path_key("tile").alias("_key"), "_hit")
+    return CellLookup(leaves, table, tuple(sorted(depths)), size)
+
+
 def with_cell(
     points: DataFrame,
-    leaves: DataFrame,
+    leaves: DataFrame | CellLookup,
     *,
     strategy: str = "auto",
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Adds ``cell``, ``class_idx`` and ``cut`` of the enclosing leaf; NULL where no leaf encloses the point.
 
-    ``leaves`` is ``(cell, class_idx[, cut])``; a set in which one cell encloses another is refused. Tiles
-    measured to fit are looked up in one broadcast hash table: no shuffle, no row is written twice, and it
-    works on a stream. Otherwise leaves become intervals of the space-filling curve and meet the points in a
-    sorted as-of merge.
+    Tiles measured to fit are looked up in one broadcast hash table: no shuffle, no row is written twice, and
+    it works on a stream. Otherwise leaves become intervals of the space-filling curve and meet the points in
+    a sorted as-of merge.
     """
     if strategy not in ("auto", "broadcast", "merge"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    cut = F.col("cut") if "cut" in leaves.columns else F.lit(False)
-    leaves = leaves.select("cell", "class_idx", cut.alias("cut"))
+    lookup = leaves if isinstance(leaves, CellLookup) else cell_lookup(leaves)
     kept = [c for c in points.columns if c not in ("cell", "class_idx", "cut")]
     points = points.select(*kept)
-    tiles = pin(tiling(leaves))
-    depths, size = _survey(tiles)
-    if not depths:
+    if not lookup.depths:
         hit = F.lit(None).cast("struct<cell:string,class_idx:int,cut:boolean>")
         return points.select(*kept, hit.alias("_hit")).select(*kept, "_hit.*")
-    deepest = max(depths)
-    if strategy == "merge" or (strategy == "auto" and size > max_bytes):
-        return _merge_cell(points, leaves, deepest)
-    table = tiles.select(path_key("tile").alias("_key"), "_hit")
+    deepest = lookup.depths[-1]
+    if strategy == "merge" or (strategy == "auto" and lookup.size > max_bytes):
+        return _merge_cell(points, lookup.leaves, deepest)
     # Tiles cover the world without overlap, so exactly one of the keys of a point is in the table: the inner
     # join keeps every point once. Points without a coordinate go along under the first tile and are blanked.
-    keys = F.array(
-        *(slot_key("coalesce(_row, 0)", "coalesce(_column, 0)", d, deepest - d) for d in sorted(depths))
-    )
+    keys = F.array(*(slot_key("coalesce(_row, 0)", "coalesce(_column, 0)", d, deepest - d) for d in lookup.depths))
     met = (
         with_slots(points, deepest)
         .select(*kept, F.explode(keys).alias("_probe"))
-        .join(F.broadcast(table), F.col("_probe") == F.col("_key"))
+        .join(F.broadcast(lookup.tiles), F.col("_probe") == F.col("_key"))
     )
     known = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.col("_hit"))
     return met.select(*kept, known.alias("_hit")).select(*kept, "_hit.*")
@@ -290,8 +304,11 @@ def near_cells(
         F.expr(f"cast({row} * {_LON_SQUARES} + {column} as int)").alias("_square"),
     )
     if fits_broadcast(spread, max_bytes):
-        # Clustered by id before the fan-out: the join keeps that, and sums per id need no second shuffle.
-        met = placed.repartition("id").sortWithinPartitions("id").join(F.broadcast(spread), "_square")
+        # Clustered by id before the fan-out: the join keeps that, and sums per id need no second shuffle. The
+        # number is given, because the rows are narrow here and would be packed into too few tasks otherwise.
+        tasks = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.repartition(tasks, "id").sortWithinPartitions("id")
+        met = placed.join(F.broadcast(spread), "_square")
     else:
         met = salted_join(placed, spread, "_square", "id")
     measured = met.withColumn("km", great_circle_km("_lat", "_lon", "center_lat", "center_lon"))
