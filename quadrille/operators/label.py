@@ -241,11 +241,12 @@ def one_hot_array(labelled: DataFrame, classes: int) -> DataFrame:
 
 def dense_labels(sparse: DataFrame, classes: int) -> DataFrame:
     """Dense rows ``(id, label)`` of a sparse label matrix; a row has one entry per class at most."""
-    entries = sparse.groupBy("id").agg(
-        F.map_from_entries(F.collect_list(F.struct("class_idx", "weight"))).alias("_w")
-    )
-    dense = f"transform(sequence(0, {classes - 1}), _i -> coalesce(_w[_i], 0F))"
-    return entries.select("id", F.expr(dense).alias("label"))
+    entries = sparse.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("class_idx", "weight"))).alias("_w"))
+    # Zeros up to each entry, the entry, and zeros after the last one.
+    gap = "_e.class_idx - if(_k = 0, -1, _w[_k - 1].class_idx) - 1"
+    filled = f"flatten(transform(_w, (_e, _k) -> concat(array_repeat(0F, {gap}), array(_e.weight))))"
+    rest = f"array_repeat(0F, {classes - 1} - element_at(_w, -1).class_idx)"
+    return entries.select("id", F.expr(f"concat({filled}, {rest})").alias("label"))
 
 
 def near_cells(

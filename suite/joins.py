@@ -46,11 +46,10 @@ def d1_merge(spark, sf):
 
 @query(
     "d2_box_join",
-    f"""with {data.TREE_BOXES} select p.id, b.cell from placed p join boxes b on p.lat >= b.south and p.lat < b.north and p.lon >= b.west and p.lon < b.east
-  join cells c on c.cell = b.cell where c.depth = 3""",
+    f"""with {data.TREE_BOXES} select p.id, b.cell from placed p join boxes b on p.lat >= b.south and p.lat < b.north and p.lon >= b.west and p.lon < b.east""",
 )
 def d2(spark, sf):
-    boxes = data.cells(spark, sf).where("depth = 3").select("cell", "south", "north", "west", "east")
+    boxes = data.cells(spark, sf).select("cell", "south", "north", "west", "east")
     return box_join(data.points(spark, sf), boxes).select("id", "cell")
 
 

@@ -21,6 +21,30 @@ def test_dense_index(spark, partitions):
     assert [r.k for r in rows] == list(range(4999, -1, -1))
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Keeps every shuffle partition, so that offsets really cross partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_numbers_cross_partitions(spark, many_partitions):
+    from quadrille.plans.durable import pin
+
+    df = spark.range(3000).selectExpr("(id * 7919) % 3000 as k", "1 as one")
+    assert pin(df.orderBy("k")).rdd.getNumPartitions() == 4
+    rows = running_total(dense_index(df, ["k"], "i"), ["k"], "one", "t").orderBy("k").collect()
+    assert all(r.i == r.k and r.t == r.k + 1 for r in rows) and len(rows) == 3000
+
+
+def test_merge_carries_over_partitions(spark, many_partitions):
+    left = spark.range(0, 4000, 3).withColumnRenamed("id", "x")
+    right = spark.createDataFrame([(5,), (2100,)], "k long").withColumn("v", F.col("k"))
+    got = asof_backward(left, right, left_key="x", right_key="k", take=["v"], strategy="merge").collect()
+    assert all(g.v == (None if g.x < 5 else 5 if g.x < 2100 else 2100) for g in got) and len(got) == left.count()
+
+
 def test_dense_index_of_nothing(spark):
     assert dense_index(spark.range(0), ["id"], "i").collect() == []
 
