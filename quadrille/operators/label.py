@@ -308,8 +308,7 @@ def near_cells(
         # Clustered by id before the fan-out: the join keeps that, and sums per id need no second shuffle. The
         # number is given, because the rows are narrow here and would be packed into too few tasks otherwise.
         tasks = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        placed = placed.repartition(tasks, "id").sortWithinPartitions("id")
-        met = placed.join(F.broadcast(spread), "_square")
+        met = placed.repartition(tasks, "id").join(F.broadcast(spread), "_square")
     else:
         met = salted_join(placed, spread, "_square", "id")
     measured = met.withColumn("km", great_circle_km("_lat", "_lon", "center_lat", "center_lon"))

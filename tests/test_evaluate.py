@@ -74,10 +74,13 @@ def test_baseline_denominators(spark):
 
 
 def test_benchmark_summary_of_published_runs(spark):
-    # Five published fetch times of batch size 1 are not at hand; mean and deviation of known values instead.
-    df = spark.createDataFrame([(2, 1.0), (2, 3.0)], "batch_size long, seconds double")
-    row = profile.benchmark_summary(df).first()
-    assert (row.mean_seconds, row.std_seconds, row.seconds_per_row) == (2.0, 1.0, 1.0)
+    # Published fetch times of batch sizes 1, and their published mean and deviation.
+    seconds = [0.7861878871917725, 0.7890615463256836, 0.5396754741668701, 0.7526328563690186, 0.7458944320678711]
+    df = spark.createDataFrame([(1, s) for s in seconds] + [(2, 1.0), (2, 3.0)], "batch_size long, seconds double")
+    one_row, two_rows = profile.benchmark_summary(df).orderBy("batch_size").collect()
+    assert one_row.mean_seconds == pytest.approx(0.7226904392242431, rel=1e-12)
+    assert one_row.std_seconds == pytest.approx(0.09313055440570546, rel=1e-12)
+    assert (two_rows.mean_seconds, two_rows.std_seconds, two_rows.seconds_per_row) == (2.0, 1.0, 1.0)
 
 
 def test_units(spark):
