@@ -32,7 +32,7 @@ from quadrille.plans.durable import fresh_folder
 #: Training bytes whose pairs make up one fragment.
 FRAGMENT_BYTES = 16 << 20
 #: Chunks of text whose counts are joined before they are sent.
-CHUNKS = 8
+CHUNKS = 12
 #: Hash of the token that ends a text; no word hashes to it but by the chance of any two words.
 END = np.uint64(0x5851F42D4C957F2D)
 _COUNTS = "fragment int, keys binary, counts binary"

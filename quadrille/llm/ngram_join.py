@@ -34,7 +34,7 @@ from quadrille.llm.words import blob, chunks, find_words, joined, mix, runs, seq
 from quadrille.plans.sizing import broadcast_if_small
 
 #: Text bytes whose n-grams make up one fragment of the counting step.
-FRAGMENT_BYTES = 16 << 20
+FRAGMENT_BYTES = 8 << 20
 #: Parts of the global order whose overlaps are counted apart.
 ORDER_FRAGMENTS = 4
 #: Documents of an n-gram that the others meet in the rounds after the first; most rounds; and how many pairs a prefix
