@@ -12,7 +12,8 @@ reaches the threshold. Steps:
    n-grams; n-grams whose documents are all connected by then need no more pairs. The documents of the others
    meet each other unless they are connected already. So large groups of copies cost a few rows per copy and n-gram.
 4. The global order is cut into fragments. Each fragment counts the overlap of a candidate in its own part of the
-   order; the parts are summed per pair, which gives the exact similarity.
+   order; the parts are summed per pair, which gives the exact similarity. The rarest fragment comes first, and pairs
+   that cannot reach the threshold any more go no further.
 
 Only connectivity is asked for, so pairs inside a connected group are left out; no link between different groups is.
 """
@@ -215,33 +216,51 @@ def candidate_filter(percent: int):
     )
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, percent: int, fragments: int = ORDER_FRAGMENTS) -> DataFrame:
-    """Pairs ``x, y`` whose similarity reaches the threshold, by overlaps counted apart in every fragment of the order."""
+def segments_of(nodes: DataFrame, fragments: int = ORDER_FRAGMENTS) -> list[DataFrame]:
+    """The documents' n-grams by fragment of the global order, rarest fragment first: number, size, shared, own."""
     pivots = nodes.select(F.explode("grams").alias("gram")).agg(
         F.percentile_approx("gram", [k / fragments for k in range(1, fragments)], 1000)
-    ).first()[0] or []
+    ).first()[0] or [0] * (fragments - 1)
     ends = [-1, *pivots, (1 << 63) - 1]
     own = [f"filter(grams, g -> g > {low} and g <= {high})" for low, high in zip(ends, ends[1:])]
-    cut = nodes.select("number", "size", F.posexplode(F.expr(f"array({', '.join(own)})")).alias("part", "own"))
-    x = cut.selectExpr("number as x", "size as x_size", "part", "own as x_own")
-    y = cut.selectExpr("number as y", "size as y_size", "part", "own as y_own")
-    return (
-        pairs.join(x, "x")
-        .join(y, ["y", "part"])
-        .selectExpr("x", "y", "x_size", "y_size", "size(array_intersect(x_own, y_own)) as overlap")
-        .groupBy("x", "y", "x_size", "y_size")
-        .agg(F.sum("overlap").alias("overlap"))
-        .where(f"100 * overlap >= {percent} * (x_size + y_size - overlap)")
-        .select("x", "y")
-    )
+    cut = nodes.select("number", "size", F.expr("size(grams)").alias("shared"), *(F.expr(e).alias(f"own{k}") for k, e in enumerate(own)))
+    cut = stored(cut, "segments")  # a column per fragment: each is read on its own
+    return [cut.select("number", "size", "shared", F.col(f"own{k}").alias("own")) for k in range(fragments)]
+
+
+def verified(pairs: DataFrame, segments: list[DataFrame], percent: int) -> DataFrame:
+    """Pairs ``x, y`` whose similarity reaches the threshold.
+
+    The overlap is counted apart in every fragment of the order and summed per pair. A pair goes on to the next fragment
+    only while the n-grams that are left could still make up what is missing.
+    """
+    found = pairs.select("x", "y")
+    for k, part in enumerate(segments):
+        kept = ["x", "y"] if not k else ["x", "y", "overlap", "x_left", "y_left"]
+        left = part.selectExpr("number as x", "size as x_size", "shared as x_shared", "own as x_own")
+        right = part.selectExpr("number as y", "size as y_size", "shared as y_shared", "own as y_own")
+        both = found.select(*kept).join(left, "x").join(right, "y")
+        if not k:
+            both = both.selectExpr("*", "0 as overlap", "x_shared as x_left", "y_shared as y_left")
+        found = both.selectExpr(
+            "x", "y", "x_size", "y_size", "overlap + size(array_intersect(x_own, y_own)) as overlap",
+            "x_left - size(x_own) as x_left", "y_left - size(y_own) as y_left",
+        ).where(f"(overlap + least(x_left, y_left)) * {100 + percent} >= {percent} * (x_size + y_size)")
+    return found.select("x", "y")
 
 
 def _hub_pairs(entries: DataFrame, percent: int, hubs: int, seed: int) -> DataFrame:
-    """Distinct candidates of every entry with up to ``hubs`` documents of its n-gram that lie in another component."""
+    """Distinct candidates of every entry with up to ``hubs`` documents of its n-gram's largest component, if it is not in it."""
     salt = f"pmod(xxhash64(number, {seed}), {hubs})"
-    rank = "number" if not seed else f"xxhash64(number, {seed} + 1000)"
+    able, rank = entries, "number"
+    if seed:
+        # Only of the largest component: the others are few, and one of them would meet all of its documents.
+        each = entries.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"))
+        main = each.groupBy("gram").agg(F.max(F.struct("n", F.expr("-comp").alias("low"))).alias("main"))
+        main = stored(main.selectExpr("gram", "-main.low as comp"), "main")
+        able, rank = entries.join(main, ["gram", "comp"], "left_semi"), f"xxhash64(number, {seed} + 1000)"
     chosen = stored(
-        entries.groupBy("gram", F.expr(salt).alias("salt"))
+        able.groupBy("gram", F.expr(salt).alias("salt"))
         .agg(F.min_by(F.struct("number", "size", "rest", "comp"), F.expr(rank)).alias("hub"))
         .selectExpr("gram", "hub.number as h", "hub.size as x_size", "hub.rest as x_rest", "hub.comp as x_comp"),
         "chosen",
@@ -291,6 +310,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 75, key:
     )
     copies = broadcast_if_small(member.where("number != node").select("number"), 16 << 20)
     nodes = stored(live.join(copies, "number", "left_anti").select("number", "size", "grams"), "nodes")
+    segments = segments_of(nodes)
     # Prefix entries; n-grams of this document alone come first in the order and are counted as positions.
     prefix = f"size(grams) - cast(({percent} * size + 99) div 100 as int) + 1"
     entries = stored(
@@ -303,7 +323,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 75, key:
     pairs_left = None
     for hubs, seed in ((1, 0), *((HUBS, k) for k in range(1, HUB_ROUNDS))):
         pairs = stored(_hub_pairs(rest, percent, hubs, seed), "hubs")
-        links.append(stored(verified(pairs, nodes, percent), "links"))
+        links.append(stored(verified(pairs, segments, percent), "links"))
         tested.append(pairs)
         comps = components(reduce(DataFrame.unionByName, links).selectExpr("x as a", "y as b"))
         rest = stored(_still_apart(rest, comps), "apart")
@@ -317,7 +337,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 75, key:
             x.join(y, "gram").where("x < y and x_comp != y_comp").where(candidate_filter(percent)).select("x", "y").distinct()
             .join(reduce(DataFrame.unionByName, tested), ["x", "y"], "left_anti")
         )
-        found = stored(verified(stored(pairs, "last"), nodes, percent), "links")
+        found = stored(verified(stored(pairs, "last"), segments, percent), "links")
         comps = components(reduce(DataFrame.unionByName, [*links, found]).selectExpr("x as a", "y as b"))
     # Members of a class share its component, which is named by its least id.
     placed = stored(
