@@ -24,8 +24,8 @@ from quadrille.llm.tables import stored
 from quadrille.llm.token_store import file_system
 from quadrille.plans.durable import fresh_folder
 
-#: Rows of a block, queries of a block, and queries whose bitmaps are added together.
-BLOCK_ROWS, BLOCK_QUERIES, AT_ONCE = 1 << 15, 256, 32
+#: Rows of a block, and queries of a block.
+BLOCK_ROWS, BLOCK_QUERIES = 1 << 16, 128
 #: Low bits of the components that the slices leave out.
 SHIFT = 1
 #: Most tasks of the search.
@@ -33,8 +33,8 @@ MOST_TASKS = 10_000
 _FOUND = "query_id long, vec_id long, score long"
 
 
-def slices_of(values: np.ndarray, shift: int = SHIFT) -> tuple[np.ndarray, np.ndarray]:
-    """Minimum of each dimension, and bitmaps ``[dimension, bit, word]`` over the rows."""
+def slices_of(values: np.ndarray, shift: int = SHIFT) -> np.ndarray:
+    """Bitmaps ``[dimension, bit, word]`` over the rows, of the components less the minimum of their dimension."""
     rows, dims = values.shape
     low = values.min(0) if rows else np.zeros(dims, np.int64)
     cut = ((values - low) >> shift).astype(np.uint64)
@@ -45,11 +45,11 @@ def slices_of(values: np.ndarray, shift: int = SHIFT) -> tuple[np.ndarray, np.nd
     for b in range(bits):
         padded[:, :rows] = ((cut >> np.uint64(b)) & np.uint64(1)).T
         out[:, b] = np.packbits(padded, axis=1, bitorder="little").view(np.uint64)
-    return low, out
+    return out
 
 
 class _Sum:
-    """Adds bitmaps ``[query, word]`` by significance: three of one significance become one, and one a step higher."""
+    """Adds bitmaps by significance: three of one significance become one, and one a step higher."""
 
     def __init__(self):
         self.waiting: dict[int, list[np.ndarray]] = {}
@@ -57,20 +57,19 @@ class _Sum:
     def add(self, bit: int, plane: np.ndarray) -> None:
         while True:
             own = self.waiting.setdefault(bit, [])
-            own.append(plane)
-            if len(own) < 3:
+            if len(own) < 2:
+                own.append(plane)
                 return
-            a, b, c = own
-            both = a & b
-            a ^= b
-            np.bitwise_and(a, c, out=b)
-            both |= b
-            a ^= c
-            own[:] = [a]
-            bit, plane = bit + 1, both
-
-    def slices(self) -> list[np.ndarray]:
-        """One bitmap for each significance."""
+            a, b = own
+            odd = a ^ b
+            carry = odd & plane
+            odd ^= plane
+            carry |= a & b
+            own[:] = [odd]
+            bit, plane = bit + 1, carry
+
+    def slices(self) -> list[np.ndarray | None]:
+        """One bitmap for each significance; None where it is empty."""
         out, bit = [], 0
         while self.waiting and bit <= max(self.waiting):
             own = self.waiting.get(bit, [])
@@ -83,77 +82,73 @@ class _Sum:
         return out
 
 
-def approximate(queries: np.ndarray, slices: np.ndarray) -> list[np.ndarray]:
-    """Bit slices, lowest first, of sum |q| u for every query and row; u is complemented where q is negative."""
-    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    dims, bits, words = slices.shape
-    size = np.abs(queries).astype(np.uint64)
-    sign = np.where(queries < 0, ones, np.uint64(0))
+def approximate(query: np.ndarray, slices: np.ndarray, complements: np.ndarray) -> np.ndarray:
+    """Bit slices ``[bit, word]``, lowest first, of sum |q| u over the rows; u is complemented where q is negative."""
     total = _Sum()
-    for d in range(dims):
-        weights = [np.where((size[:, d] >> np.uint64(t)) & np.uint64(1), ones, np.uint64(0))[:, None] for t in range(int(size[:, d].max()).bit_length())]
-        for b in range(bits):
-            signed = slices[d, b][None, :] ^ sign[:, d][:, None]
-            for t, mask in enumerate(weights):
-                total.add(b + t, signed & mask)
-    zero = np.zeros((len(queries), words), np.uint64)
-    return [s if s is not None else zero for s in total.slices()] or [zero]
-
-
-def kth_value(slices: list[np.ndarray], rows: np.ndarray, k: int) -> np.ndarray:
-    """The k-th largest value of every query among ``rows`` (a bitmap each); 0 where there are fewer."""
-    need = np.full(len(rows), k, np.int64)
-    value = np.zeros(len(rows), np.int64)
-    among = rows.copy()
+    for d, q in enumerate(query.tolist()):
+        planes = slices[d] if q >= 0 else complements[d]
+        size, t = abs(q), 0
+        while size >> t:
+            if (size >> t) & 1:
+                for b, plane in enumerate(planes):
+                    total.add(b + t, plane)
+            t += 1
+    zero = np.zeros(slices.shape[2], np.uint64)
+    return np.stack([s if s is not None else zero for s in total.slices()] or [zero])
+
+
+def kth_value(slices: np.ndarray, rows: np.ndarray, k: int) -> int:
+    """The k-th largest value among ``rows`` (a bitmap); 0 where there are fewer."""
+    if int(np.bitwise_count(rows).sum(dtype=np.int64)) < k:
+        return 0
+    value = 0
     for bit in range(len(slices) - 1, -1, -1):
-        ones = among & slices[bit]
-        count = np.bitwise_count(ones).sum(1, dtype=np.int64)
-        enough = count >= need
-        value += np.where(enough, 1 << bit, 0)
-        need -= np.where(enough, 0, count)
-        among = np.where(enough[:, None], ones, among & ~slices[bit])
-    return np.where(np.bitwise_count(rows).sum(1, dtype=np.int64) < k, 0, value)
+        ones = rows & slices[bit]
+        count = int(np.bitwise_count(ones).sum(dtype=np.int64))
+        if count >= k:
+            rows, value = ones, value | 1 << bit
+        else:
+            rows, k = rows & ~slices[bit], k - count
+    return value
 
 
-def at_least(slices: list[np.ndarray], rows: np.ndarray, bound: np.ndarray) -> np.ndarray:
+def at_least(slices: np.ndarray, rows: np.ndarray, bound: int) -> np.ndarray:
     """Bitmap of the rows whose value is ``bound`` or more."""
-    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    above, equal = np.zeros_like(rows), rows.copy()
+    if bound >> len(slices):
+        return np.zeros_like(rows)
+    above, equal = np.zeros_like(rows), rows
     for bit in range(len(slices) - 1, -1, -1):
-        want = np.where((bound >> bit) & 1, ones, np.uint64(0))[:, None]
-        above |= equal & slices[bit] & ~want
-        equal &= ~(slices[bit] ^ want)
-    full = (bound >> len(slices)) > 0
-    return np.where(full[:, None], np.uint64(0), above | equal)
+        if (bound >> bit) & 1:
+            equal = equal & slices[bit]
+        else:
+            above |= equal & slices[bit]
+            equal = equal & ~slices[bit]
+    return above | equal
 
 
-def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values: np.ndarray, low: np.ndarray, slices: np.ndarray, k: int, shift: int = SHIFT):
-    """For each query its k best rows but its own: row numbers and scores, ties to the smaller id."""
-    rows = len(ids)
+def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values: np.ndarray, slices: np.ndarray, k: int, shift: int = SHIFT):
+    """For each query its k best rows but its own: its number, row numbers and scores, ties to the smaller id."""
     dims = max(queries.shape[1], values.shape[1])
     queries = np.pad(queries, ((0, 0), (0, dims - queries.shape[1])))[:, : values.shape[1]]
-    whole = np.zeros(slices.shape[2] * 64, np.uint8)
-    whole[:rows] = 1
-    live = np.packbits(whole, bitorder="little").view(np.uint64)
-    for at in range(0, len(queries), AT_ONCE):
-        part = queries[at : at + AT_ONCE]
-        found = approximate(part, slices)
-        every = np.repeat(live[None, :], len(part), 0)
+    live = np.zeros(slices.shape[2] * 64, np.uint8)
+    live[: len(ids)] = 1
+    live = np.packbits(live, bitorder="little").view(np.uint64)
+    complements = ~slices
+    for n, query in enumerate(queries):
+        found = approximate(query, slices, complements)
         # One more than k, since the query's own row may be among them.
-        best = kth_value(found, every, k + 1)
-        # The bits left out may be worth so much, in steps of the slices; floor division rounds up here.
-        slack = -(-(((1 << shift) - 1) * np.abs(part).sum(1)) // (1 << shift))
-        near = at_least(found, every, np.maximum(best - slack, 0))
-        near = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")
-        for n, q in enumerate(part):
-            own = np.flatnonzero(near[n])
-            own = own[ids[own] != query_ids[at + n]]
-            score = values[own].astype(np.int64) @ q
-            if len(own) > 4 * k:
-                keep = score >= np.partition(score, len(score) - k)[len(score) - k]
-                own, score = own[keep], score[keep]
-            order = np.lexsort((ids[own], -score))[:k]
-            yield at + n, own[order], score[order]
+        best = kth_value(found, live, k + 1)
+        # The bits left out may be worth so much, in steps of the slices, rounded up.
+        slack = -(-(((1 << shift) - 1) * int(np.abs(query).sum())) // (1 << shift))
+        near = at_least(found, live, max(best - slack, 0))
+        own = np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little"))
+        own = own[ids[own] != query_ids[n]]
+        score = values[own].astype(np.int64) @ query
+        if len(own) > 4 * k:
+            keep = score >= np.partition(score, len(score) - k)[len(score) - k]
+            own, score = own[keep], score[keep]
+        order = np.lexsort((ids[own], -score))[:k]
+        yield n, own[order], score[order]
 
 
 def _write_block(folder: str, label: str, with_slices: bool):
@@ -168,8 +163,8 @@ def _write_block(folder: str, label: str, with_slices: bool):
         ids, values = ids[order], values[order]
         arrays = [np.array(values.shape, np.int64), ids, values.ravel().astype(np.min_scalar_type(-int(np.abs(values).max()) - 1) if values.size else np.int8)]
         if with_slices:
-            low, slices = slices_of(values)
-            arrays += [low, np.array(slices.shape, np.int64), slices.ravel()]
+            slices = slices_of(values)
+            arrays += [np.array(slices.shape, np.int64), slices.ravel()]
         block = table.column("block")[0].as_py()
         name = write_arrays(folder, f"{label}-{block}-{uuid.uuid4().hex[:8]}", *arrays)
         return pa.table({"block": pa.array([block], pa.int64()), "file": [name]})
@@ -190,8 +185,8 @@ def _searching(folder: str, k: int):
             for pair in batch.to_pylist():
                 shape, query_ids, flat = map_arrays(folder, pair["queries"])
                 queries = np.asarray(flat).reshape(shape).astype(np.int64)
-                shape, ids, flat, low, cut, slices = map_arrays(folder, pair["file"])
-                found = list(search(np.asarray(query_ids), queries, np.asarray(ids), np.asarray(flat).reshape(shape), low, np.asarray(slices).reshape(cut), k))
+                shape, ids, flat, cut, slices = map_arrays(folder, pair["file"])
+                found = list(search(np.asarray(query_ids), queries, np.asarray(ids), np.asarray(flat).reshape(shape), np.asarray(slices).reshape(cut), k))
                 counts = [len(own) for _, own, _ in found]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -229,7 +224,7 @@ def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64,
     index = _blocks(whole, folder, "rows", BLOCK_ROWS, True)
     asked = _blocks(whole.where(F.col("vec_id") % every == 0), folder, "queries", BLOCK_QUERIES, False)
     # Every block of queries meets every block of rows, whose numbers it is dealt to.
-    numbers = [r.block for r in index.select("block").collect()]  # a number per 32,768 rows
+    numbers = [r.block for r in index.select("block").collect()]  # a number per 65,536 rows
     pairs = asked.select(F.col("file").alias("queries"), F.explode(F.array(*map(F.lit, numbers)) if numbers else F.lit(None).cast("array<bigint>")).alias("block"))
     pairs = pairs.join(index, "block").repartition(max(1, min(MOST_TASKS, asked.count() * len(numbers))), "queries", "file")
     found = pairs.mapInArrow(_searching(folder, k), _FOUND)
