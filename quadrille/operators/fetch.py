@@ -12,6 +12,8 @@ from quadrille.plans.sizing import BROADCAST_BYTES, broadcast_if_small, fits_bro
 LIST_SPAN = 65_536
 #: Shard names written into a scan filter; with more of them the join alone selects.
 NAMED_SHARDS = 1_000
+#: Ids written into a scan filter; with more of them their range is.
+NAMED_IDS = 1_000
 
 
 def first_positions(requests: DataFrame) -> DataFrame:
@@ -22,10 +24,22 @@ def first_positions(requests: DataFrame) -> DataFrame:
 def fetch_batch(points: DataFrame, requests: DataFrame, *, ordered: bool = True) -> DataFrame:
     """Rows of the requested ids ``(pos, idx)`` in request order; duplicates collapse, missing ids vanish."""
     wanted = first_positions(requests).withColumnRenamed("idx", "id")
-    rows = points.join(broadcast_if_small(wanted), "id")
+    rows = near_ids(points, wanted).join(broadcast_if_small(wanted), "id")
     return rows.orderBy("pos") if ordered else rows
 
 
+def near_ids(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without those that cannot be among the wanted ids, by a filter that reaches the scan.
+
+    Statistics of the files then skip what is not asked for, images included; a join still has to follow.
+    """
+    ids = [r[0] for r in wanted.select("id").limit(NAMED_IDS + 1).collect()]
+    if len(ids) <= NAMED_IDS:
+        return rows.where(F.col("id").isin([i for i in ids if i is not None]))
+    low, high = wanted.agg(F.min("id"), F.max("id")).first()
+    return rows.where(F.col("id").between(low, high))
+
+
 def fetch_left(requests: DataFrame, rows: DataFrame) -> DataFrame:
     """Every request with its row, or NULLs; sorted by index, then position."""
     fetched = rows.withColumnRenamed("id", "idx")
@@ -64,7 +78,7 @@ def fetch_through_catalog(
     """Rows of the requested indices from a table partitioned by ``shard``, in request order (``pos``).
 
     The as-of join names the shards in question; when they are few they go into the scan as a partition
-    filter, so other shards are not opened.
+    filter, so other shards are not opened. The wanted ids, or their range, go along and skip parts of the shards.
     """
     placed = shard_of(first_positions(requests), catalog).where("name is not null")
     wanted = placed.select(F.col("idx").alias("id"), "pos", F.col("name").alias("shard"))
@@ -72,4 +86,4 @@ def fetch_through_catalog(
     if len(names) <= NAMED_SHARDS:
         shards = shards.where(F.col("shard").isin(names)) if names else shards.limit(0)
     side = F.broadcast(wanted) if fits_broadcast(wanted, max_bytes) else wanted
-    return shards.drop("pos").join(side, ["shard", "id"]).orderBy("pos")
+    return near_ids(shards.drop("pos"), wanted).join(side, ["shard", "id"]).orderBy("pos")

@@ -68,9 +68,10 @@ def with_cell(
 
     Tiles measured to fit are looked up in one broadcast hash table: no shuffle, no row is written twice, and
     it works on a stream. Otherwise leaves become intervals of the space-filling curve and meet the points in
-    a sorted as-of merge.
+    a sorted as-of merge. ``shuffle`` makes the same join as ``broadcast`` without sending the tiles to every task;
+    ``broadcast`` refuses tiles beyond ``max_bytes``.
     """
-    if strategy not in ("auto", "broadcast", "merge"):
+    if strategy not in ("auto", "broadcast", "shuffle", "merge"):
         raise ValueError(f"unknown strategy {strategy!r}")
     lookup = leaves if isinstance(leaves, CellLookup) else cell_lookup(leaves)
     kept = [c for c in points.columns if c not in ("cell", "class_idx", "cut")]
@@ -81,13 +82,15 @@ def with_cell(
     deepest = lookup.depths[-1]
     if strategy == "merge" or (strategy == "auto" and lookup.size > max_bytes):
         return _merge_cell(points, lookup.leaves, deepest)
+    if strategy == "broadcast" and lookup.size > max_bytes:
+        raise ValueError(f"tiles of {lookup.size} bytes are too large for a broadcast of {max_bytes}")
     # Tiles cover the world without overlap, so exactly one of the keys of a point is in the table: the inner
     # join keeps every point once. Points without a coordinate go along under the first tile and are blanked.
     keys = F.array(*(slot_key("coalesce(_row, 0)", "coalesce(_column, 0)", d, deepest - d) for d in lookup.depths))
     met = (
         with_slots(points, deepest)
         .select(*kept, F.explode(keys).alias("_probe"))
-        .join(F.broadcast(lookup.tiles), F.col("_probe") == F.col("_key"))
+        .join(lookup.tiles if strategy == "shuffle" else F.broadcast(lookup.tiles), F.col("_probe") == F.col("_key"))
     )
     known = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.col("_hit"))
     return met.select(*kept, known.alias("_hit")).select(*kept, "_hit.*")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from quadrille.functions.cells import (
     DEEPEST,
-    FLOAT_EXACT,
     cell_parent,
     in_world,
     slots_to_path,
@@ -41,7 +40,7 @@ def build_quadtree(
     tau_max: int,
     *,
     last_id: int | None = None,
-    max_depth: int = FLOAT_EXACT,
+    max_depth: int = DEEPEST,
     first_span: int = FIRST_SPAN,
     next_span: int = NEXT_SPAN,
     max_broadcast_bytes: int = BROADCAST_BYTES,
@@ -49,7 +48,8 @@ def build_quadtree(
     """All cells ``(cell, depth, parent, state, n, south, north, west, east)``, the world included.
 
     Only points inside the half-open world with ``id <= last_id`` are counted. Cells still too full at
-    ``max_depth`` are returned as EVALUATING. The result is pinned.
+    ``max_depth`` are returned as EVALUATING; the default is as deep as cells go, where only points on one spot are left
+    together. The result is pinned.
     """
     if not 0 <= tau_min <= tau_max:
         raise ValueError("0 <= tau_min <= tau_max is required")

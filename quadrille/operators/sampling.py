@@ -44,14 +44,19 @@ def drop_short_batch(numbered: DataFrame, size: int) -> DataFrame:
     return numbered.where(F.col("batch_id") < full)
 
 
+def keyed_order(seed: int, key: str) -> Column:
+    """A hash of seed and key that other engines have too."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
 def shuffled(df: DataFrame, seed: int, key: str = "id", name: str = "position") -> DataFrame:
     """Every row once, at a position fixed by ``seed``: order of a keyed hash, ties by key."""
-    return dense_index(df, [F.xxhash64(F.col(key), F.lit(seed).cast("long")), F.col(key)], name)
+    return dense_index(df, [keyed_order(seed, key), F.col(key)], name)
 
 
 def random_rows(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
     """Exactly ``n`` rows (or all, when there are fewer), the same ones for the same seed."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed).cast("long")), F.col(key)).limit(n)
+    return df.orderBy(keyed_order(seed, key), F.col(key)).limit(n)
 
 
 # --- splits ---------------------------------------------------------------------------------------------
@@ -91,11 +96,10 @@ def dataset_length(points: DataFrame, excluded: DataFrame, first_id: int, last_i
 
 def check_dense(points: DataFrame, first_id: int, last_id: int) -> None:
     """The remap presumes that every id of the range exists once."""
-    n, low, high = (
-        points.where(id_between(first_id, last_id)).agg(F.count("id"), F.min("id"), F.max("id")).first()
-    )
-    if (n, low, high) != (last_id - first_id + 1, first_id, last_id):
-        raise ValueError(f"ids {first_id}..{last_id} are not dense: {n} rows, {low}..{high}")
+    each = points.where(id_between(first_id, last_id)).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    ids, most = each.agg(F.count(F.lit(1)), F.max("n")).first()
+    if ids != last_id - first_id + 1 or (most or 1) > 1:
+        raise ValueError(f"ids {first_id}..{last_id} are not dense: {ids} different ids, one up to {most} times")
 
 
 def remap_indices(indices: DataFrame, excluded: DataFrame, first_id: int, last_id: int) -> DataFrame:
@@ -149,15 +153,22 @@ def labelled_rows(
     last_id: int | None = None,
     smoothing: bool = False,
     classes: DataFrame | None = None,
+    cut: str = "raise",
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of an id range with their class, and the sparse label matrix of those rows.
 
-    Points of sparse leaves are left out (they are the excluded ids), and so are points cut by the depth
-    bound. ``last_id`` defaults to the last id of the table.
+    Points of sparse leaves are left out (they are the excluded ids). Points of cells that are too full and could not be
+    split further have no class: ``cut`` is ``raise`` for an error when there are any, or ``drop``. ``last_id``
+    defaults to the last id of the table.
     """
     if last_id is None:
         last_id = max_id(points).first()[0] or 0
     classes = pin(active_cells(cells)) if classes is None else classes
     rows = with_cell(points.where(id_between(first_id, last_id)), leaf_lookup(cells, classes))
+    if cut == "raise":
+        problem = F.raise_error(F.lit("a point in a cell that is too full and cannot be split")).cast("int")
+        rows = rows.withColumn("class_idx", F.when(F.col("cut"), problem).otherwise(F.col("class_idx")))
+    elif cut != "drop":
+        raise ValueError("cut must be 'raise' or 'drop'")
     rows = rows.where("class_idx is not null").drop("cut")
     return rows, smoothed_labels(rows, classes) if smoothing else one_hot(rows)

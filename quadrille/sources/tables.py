@@ -50,15 +50,22 @@ def shard_counts(table: DataFrame) -> DataFrame:
 
 def next_id(spark: SparkSession, folder: str) -> int:
     """Key after the greatest one in the table; 1 for a table that does not exist yet."""
+    table = _existing(spark, folder)
+    return 1 if table is None else (table.agg(F.max("id")).first()[0] or 0) + 1
+
+
+def _existing(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The table, or None where there is no such folder; any other trouble is an error."""
     try:
-        top = spark.read.parquet(folder).agg(F.max("id")).first()[0]
-    except AnalysisException:
-        return 1
-    return (top or 0) + 1
+        return spark.read.parquet(folder)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def append_rows(df: DataFrame, folder: str, order_by: list[str]) -> None:
-    """Appends id-less rows; ids continue after the last one of the table in the given order."""
+    """Appends id-less rows; ids continue after the last one of the table in the given order. For one writer at a time."""
     start = next_id(df.sparkSession, folder)
     dense_index(df.drop("id"), order_by, "id", start).write.mode("append").parquet(folder)
 
@@ -135,10 +142,8 @@ def append_manifest(
     ``summary`` is the one row of the partition summary, ``excluded`` is ``(id)``.
     """
     spark = summary.sparkSession
-    try:
-        seq = (spark.read.parquet(f"{folder}/entries").agg(F.max("seq")).first()[0] or 0) + 1
-    except AnalysisException:
-        seq = 1
+    entries = _existing(spark, f"{folder}/entries")
+    seq = 1 if entries is None else (entries.agg(F.max("seq")).first()[0] or 0) + 1
     entry = summary.select(
         F.lit(name).alias("name"),
         F.struct(

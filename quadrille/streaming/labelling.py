@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from quadrille.operators.label import with_cell
+from quadrille.operators.label import CellLookup, cell_lookup, with_cell
 from quadrille.plans.durable import fresh_folder
-from quadrille.plans.sizing import BROADCAST_BYTES, fits_broadcast
+from quadrille.plans.sizing import BROADCAST_BYTES
 
 
-def label_stream(points: DataFrame, leaves: DataFrame, *, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """A stream of points with the enclosing leaf of a fixed quadtree, which must fit a broadcast."""
-    if not fits_broadcast(leaves, max_bytes):
-        raise ValueError("the quadtree is too large to label a stream; label the arriving files in batches")
-    return with_cell(points, leaves, strategy="broadcast")
+def label_stream(points: DataFrame, leaves: DataFrame | CellLookup, *, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A stream of points with the enclosing leaf of a fixed quadtree.
+
+    The tiles are measured as they would be broadcast; beyond ``max_bytes`` the stream is shuffled to them instead.
+    """
+    lookup = leaves if isinstance(leaves, CellLookup) else cell_lookup(leaves)
+    return with_cell(points, lookup, strategy="broadcast" if lookup.size <= max_bytes else "shuffle", max_bytes=max_bytes)
 
 
 def append_labelled(

@@ -16,6 +16,7 @@ from suite.registry import query
 _P = f"with {data.POINTS}"
 _L = f"with {data.TREE_LABELS}"
 _TOP = "(select max(id) as top from points) t"
+_TOP_CTE = "t as (select max(id) as top from points)"
 
 
 @query("j1_prefix_fraction", f"{_P} select id from points, {_TOP} where id <= cast(floor(top * cast(0.37 as double)) as bigint)")
@@ -51,7 +52,7 @@ def j3(spark, sf):
     return sampling.remap_indices(indices, out, 1, top)
 
 
-@query("j4_seeded_shuffle")
+@query("j4_seeded_shuffle", f"{_P} select id, cast(row_number() over (order by md5('11:' || id), id) - 1 as bigint) as position from points")
 def j4(spark, sf):
     return sampling.shuffled(data.points(spark, sf).select("id"), seed=11)
 
@@ -134,7 +135,7 @@ def j8_batches(spark, sf):
     return with_cell(rows, leaf_lookup(tree)).select("pos", "id", "cell", "class_idx").orderBy("pos")
 
 
-@query("j9_random_ids")
+@query("j9_random_ids", f"{_P}, {_TOP_CTE} select id from points, t where id between top // 4 and top order by md5('2:' || id), id limit 20")
 def j9(spark, sf):
     p = data.points(spark, sf)
     top = pts.max_id(p).first()[0]

@@ -38,27 +38,25 @@ def test_float_rule_decides_the_path(spark):
     assert row[0] == "132023110331"
 
 
-def path_by_halving(lat, lon, depth):
+def exact_path(lat, lon, depth):
+    """Row and column of the cell as exact fractions of the world, their bits side by side."""
+    from fractions import Fraction
+
     import numpy as np
 
-    lat, lon = float(np.float32(lat)), float(np.float32(lon))
-    south, north, west, east, path = -90.0, 90.0, -180.0, 180.0, ""
-    for _ in range(depth):
-        digit, mid_lat, mid_lon = 0, (south + north) / 2, (west + east) / 2
-        if lat < mid_lat:
-            digit, north = 2, mid_lat
-        else:
-            south = mid_lat
-        if lon >= mid_lon:
-            digit, west = digit + 1, mid_lon
-        else:
-            east = mid_lon
-        path += str(digit)
-    return path
+    def slot(value, low, span, missing):
+        value = float(np.float32(value))
+        if value != value:
+            return missing
+        return min(max((Fraction(value) - low) * 2**depth // span, 0), 2**depth - 1)
+
+    row = 2**depth - 1 - slot(lat, -90, 180, 2**depth - 1)
+    column = slot(lon, -180, 360, 0)
+    return "".join(str(2 * (row >> k & 1) + (column >> k & 1)) for k in reversed(range(depth)))
 
 
 @pytest.mark.parametrize("depth", [1, 7, 18, 19, 25, 30])
-def test_path_equals_halving(spark, depth):
+def test_path_equals_exact_fractions(spark, depth):
     import random
 
     rng = random.Random(depth)
@@ -68,7 +66,7 @@ def test_path_equals_halving(spark, depth):
     points.append((float("nan"), float("nan")))
     df = spark.createDataFrame(points, "latitude double, longitude double")
     found = df.select("latitude", "longitude", cell_path("latitude", "longitude", depth).alias("p")).collect()
-    assert [r["p"] for r in found] == [path_by_halving(r["latitude"], r["longitude"], depth) for r in found]
+    assert [r["p"] for r in found] == [exact_path(r["latitude"], r["longitude"], depth) for r in found]
 
 
 def test_null_coordinates_have_no_path(spark):

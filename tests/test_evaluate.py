@@ -141,7 +141,7 @@ def test_describe(spark):
 
 def test_classifier_learns(spark):
     rows = spark.range(200).selectExpr("id", "cast(id % 2 as int) as class_idx", "array(cast(id % 2 as float), 1F) as features")
-    model = scoring.train_classifier(rows, max_iter=10)
+    model = scoring.train_classifier(rows, 3, max_iter=10)
     hits = scoring.classify(model, rows).join(rows, "id").where(scores.arg_max("probs") == F.col("class_idx"))
     assert hits.count() == 200
 

@@ -20,7 +20,7 @@ from quadrille.operators.label import (
 from quadrille.streaming.labelling import append_labelled
 from suite import data
 from tests.conftest import SF, plan_of
-from tests.test_cells import path_by_halving
+from tests.test_cells import exact_path
 
 
 def make(spark, rows):
@@ -47,7 +47,7 @@ def test_equals_prefix_search(spark, strategy):
     for r in found:
         expected = None
         if r.latitude is not None and r.longitude is not None:
-            path = path_by_halving(r.latitude, r.longitude, 7)
+            path = exact_path(r.latitude, r.longitude, 7)
             expected = next((c for c in cells if path.startswith(c)), None)
         assert r.cell == expected, r
         assert r.class_idx == (None if expected is None else cells.index(expected))
@@ -119,18 +119,11 @@ def great_circle(a, b):
     return 6371.009 * math.atan2(y, math.sin(p1) * math.sin(p2) + math.cos(p1) * math.cos(p2) * math.cos(d))
 
 
-def center(cell):
-    south, north, west, east = -90.0, 90.0, -180.0, 180.0
-    for digit in map(int, cell):
-        if digit < 2:
-            south = (south + north) / 2
-        else:
-            north = (south + north) / 2
-        if digit % 2:
-            west = (west + east) / 2
-        else:
-            east = (west + east) / 2
-    return (south + north) / 2, (west + east) / 2
+def middle(cell):
+    """Centre of a cell from its row and column."""
+    n = 2 ** len(cell)
+    row, column = (int("".join(str(int(c) >> s & 1) for c in cell) or "0", 2) for s in (1, 0))
+    return 90 - 180 * (row + 0.5) / n, -180 + 360 * (column + 0.5) / n
 
 
 @pytest.fixture(scope="module")
@@ -145,7 +138,7 @@ def crowded(spark):
         lat = max(-90.0, min(89.99, lat + rng.uniform(-1.5, 1.5)))
         lon = (lon + rng.uniform(-4, 4) + 180) % 360 - 180
         rows.append((k, lat, lon))
-        path = path_by_halving(lat, lon, 9)
+        path = exact_path(lat, lon, 9)
         if not path.startswith("20"):
             cells.add(path)
     rows += [(1000, -10.0, -170.0), (1001, -40.0, -100.0)]
@@ -162,7 +155,7 @@ def test_near_cells_equal_all_pairs(crowded, max_bytes):
     expected = set()
     for r in labelled.where("class_idx is not null").collect():
         for k, cell in enumerate(cells):
-            if k == r.class_idx or great_circle((r.latitude, r.longitude), center(cell)) <= 285:
+            if k == r.class_idx or great_circle((r.latitude, r.longitude), middle(cell)) <= 285:
                 expected.add((r.id, k))
     assert got == expected and len(got) > len(labelled.collect())
 

@@ -24,15 +24,6 @@ def remapped(spark, idx, excluded, first, last):
     return {r.idx: r.id for r in rows}
 
 
-def one_by_one(i, excluded, first, last):
-    excluded = sorted(excluded)
-    kept = last - first + 1 - len(excluded)
-    i = i % kept + first
-    while i in excluded:
-        i = first + kept + excluded.index(i)
-    return i
-
-
 def test_published_remap(spark):
     got = remapped(spark, range(12), [2, 11, 13], 0, 14)
     assert [got[i] for i in range(12)] == [0, 1, 12, 3, 4, 5, 6, 7, 8, 9, 10, 14]
@@ -46,7 +37,10 @@ def test_remap_is_a_bijection_onto_kept_ids(spark, seed):
     inside = [e for e in excluded if e <= last]
     kept = last - first + 1 - len(inside)
     got = remapped(spark, range(-kept, kept), excluded, first, last)
-    assert all(got[i] == one_by_one(i, inside, first, last) for i in range(-kept, kept))
+    # Ids that are kept stay where they are; the others come from the tail; negative indices count from the end.
+    assert all(got[i] == first + i for i in range(kept) if first + i not in inside)
+    assert all(got[i] >= first + kept for i in range(kept) if first + i in inside)
+    assert all(got[i - kept] == got[i] for i in range(kept))
     assert sorted(got[i] for i in range(kept)) == sorted(set(range(first, last + 1)) - set(inside))
 
 
@@ -54,7 +48,7 @@ def test_remap_long_chain_and_no_exclusion(spark):
     # One excluded id at the head, all of the tail but its last: the longest chain.
     excluded = [0, *range(21, 40)]
     got = remapped(spark, range(21), excluded, 0, 40)
-    assert all(got[i] == one_by_one(i, excluded, 0, 40) for i in range(21))
+    assert got == {0: 40} | {i: i for i in range(1, 21)}
     assert remapped(spark, [0, 3], [], 7, 10) == {0: 7, 3: 10}
 
 
@@ -149,3 +143,30 @@ def test_fraction_bounds(spark):
     for wrong in (0, 1.1):
         with pytest.raises(ValueError):
             id_fraction_bound(ids(spark, [1]), wrong)
+
+
+def test_dense_check_sees_duplicates(spark):
+    points = spark.createDataFrame([(1,), (1,), (3,)], "id long")
+    with pytest.raises(ValueError):
+        sampling.check_dense(points, 1, 3)
+    sampling.check_dense(spark.createDataFrame([(2,), (1,), (3,)], "id long"), 1, 3)
+
+
+def test_coincident_points_are_an_error_or_dropped_on_demand(spark):
+    from quadrille.operators.quadtree import build_quadtree
+
+    spots = [(10.0, 20.0), (-35.5, 60.25), (70.0, -120.0)]
+    points = spark.createDataFrame([(i + 1, *spots[i % 3]) for i in range(3000)], "id long, latitude double, longitude double")
+    deep = build_quadtree(points, 5, 500)
+    with pytest.raises(Exception, match="cannot be split"):
+        sampling.labelled_rows(points, deep)[0].collect()
+    assert sampling.labelled_rows(points, deep, cut="drop")[0].count() == 0
+    assert sampling.labelled_rows(points, build_quadtree(points, 5, 1500))[0].count() == 3000
+
+
+def test_points_a_few_metres_apart_are_split(spark):
+    from quadrille.operators.quadtree import build_quadtree
+
+    points = spark.createDataFrame([(i + 1, 0.00001 + (i % 20) * 0.00001, 0.00001) for i in range(400)], "id long, latitude double, longitude double")
+    rows, _ = sampling.labelled_rows(points, build_quadtree(points, 5, 50))
+    assert rows.count() == 400

@@ -146,3 +146,12 @@ def test_image_headers():
     )
     assert [header_size(x) for x in (png, gif, jpeg)] == [(320, 240), (12, 34), (640, 480)]
     assert [header_size(x) for x in (None, b"", b"BM....", b"\xff\xd8\xff\xda")] == [None] * 4
+
+
+def test_only_a_missing_table_starts_at_one(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    assert tables.next_id(spark, str(tmp_path / "none")) == 1
+    spark.range(3).withColumnRenamed("id", "other").write.parquet(str(tmp_path / "other"))
+    with pytest.raises(AnalysisException):
+        tables.next_id(spark, str(tmp_path / "other"))
