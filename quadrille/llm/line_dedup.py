@@ -98,11 +98,11 @@ def without_repeats(docs: DataFrame, *, unit: str = "line", least_words: int = L
     """The rows of ``docs`` with repeated units cut from ``text``, and ``spans``: what went, in original characters.
 
     All columns and all rows stay, also those whose text is empty afterwards. Null texts stay null, with null spans, as
-    have all texts that lose nothing. A column of ``docs`` named ``spans`` or ``mark`` is replaced.
+    have all texts that lose nothing. A column of ``docs`` named ``spans`` is replaced.
     """
-    docs = docs.drop("spans", "mark")
-    gone = removed_units(docs, unit=unit, least_words=least_words, key=key).withColumnRenamed("doc_id", "_gone_id")
-    marked = docs.withColumn("mark", F.xxhash64("text"))
-    same = F.col(key).cast("long").eqNullSafe(F.col("_gone_id")) & (marked["mark"] == gone["mark"])
-    full = marked.join(gone, same, "left").select(*docs.columns, "spans")
+    docs = docs.drop("spans")
+    gone = removed_units(docs, unit=unit, least_words=least_words, key=key)
+    gone = gone.selectExpr("doc_id as _gone_id", "mark as _gone_mark", "spans")
+    same = F.col(key).cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_mark"))
+    full = docs.join(gone, same, "left").select(*docs.columns, "spans")
     return full.mapInArrow(_removal(full.schema), full.schema)

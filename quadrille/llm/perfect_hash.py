@@ -11,7 +11,7 @@ import numpy as np
 from quadrille.llm.words import mix
 
 LOAD = 2
-_SEED = np.uint64(0xA0761D6478BD642F)
+_SEED = 0xA0761D6478BD642F
 
 
 def fingerprints(keys: np.ndarray) -> np.ndarray:
@@ -45,7 +45,8 @@ class PerfectHash:
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, bits: int) -> np.ndarray:
-        return (mix(keys ^ (_SEED * np.uint64(level + 1))) % np.uint64(bits)).astype(np.int64)
+        seed = np.uint64(_SEED * (level + 1) & 0xFFFFFFFFFFFFFFFF)
+        return (mix(keys ^ seed) % np.uint64(bits)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Number of each key; -1, or any number, for keys that were not built in."""
