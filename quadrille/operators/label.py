@@ -33,8 +33,8 @@ SMOOTHING_RADIUS_KM = 285.0
 #: Size in degrees of the squares that bring points and cell centers together.
 _SQUARE = 2.5
 _LAT_SQUARES, _LON_SQUARES = 72, 144
-#: Size in degrees of the squares of the box join.
-_BOX_SQUARE = 5.0
+#: Finest grid level of the box join; a level halves the squares of the one before.
+_BOX_LEVELS = 16
 
 
 @dataclass(frozen=True)
@@ -200,26 +200,35 @@ def box_join(
 ) -> DataFrame:
     """Every point with every rectangle ``(south, north, west, east, ...)`` that holds it.
 
-    Rectangles are cut into squares of a fixed grid and meet the points by an equi-join on the square.
+    A rectangle is written to the squares it touches on the grid level that fits its size, some four of them; a point has
+    one square on each level in use. They meet by an equi-join on the square, so the candidates of a point are the
+    rectangles close to it in their own measure, however dense the points are.
     """
-    rows, columns = int(180 / _BOX_SQUARE), int(360 / _BOX_SQUARE)
-
-    def square(value: str, low: float, top: int) -> str:
-        return f"cast(greatest(least(floor(({value} - {low}D) / {_BOX_SQUARE}D), {top - 1}), 0) as int)"
-
-    tiled = boxes.select(
-        "*",
-        F.explode(F.expr(f"sequence({square('south', -90.0, rows)}, {square('north', -90.0, rows)})")).alias("_y"),
-    ).select(
-        "*",
-        F.explode(F.expr(f"sequence({square('west', -180.0, columns)}, {square('east', -180.0, columns)})")).alias(
-            "_x"
-        ),
+
+    def slot(value: str, low: float, span: float, level: str) -> str:
+        n = f"shiftleft(1, {level})"
+        return f"cast(greatest(least(floor(({value} - {low}D) * {n} / {span}D), {n} - 1), 0) as int)"
+
+    def square(level: str, y: str, x: str) -> str:
+        return f"shiftleft(cast({level} as bigint), 40) + shiftleft(cast({y} as bigint), 20) + {x}"
+
+    def fit(span: float, low: str, high: str) -> str:
+        return f"log2({span}D / greatest(abs({high} - {low}), 1e-9D))"
+
+    level = f"coalesce(floor(least({fit(180.0, 'south', 'north')}, {fit(360.0, 'west', 'east')})), 0)"
+    tiled = (
+        boxes.select("*", F.expr(f"cast(greatest(least({level}, {_BOX_LEVELS}), 0) as int)").alias("_level"))
+        .select("*", F.explode(F.expr(f"sequence({slot('south', -90.0, 180.0, '_level')}, {slot('north', -90.0, 180.0, '_level')})")).alias("_y"))
+        .select("*", F.explode(F.expr(f"sequence({slot('west', -180.0, 360.0, '_level')}, {slot('east', -180.0, 360.0, '_level')})")).alias("_x"))
+        .select(*boxes.columns, "_level", F.expr(square("_level", "_y", "_x")).alias("_square"))
     )
-    tiled = tiled.select(*boxes.columns, F.expr(f"_y * {columns} + _x").alias("_square"))
+    tiled = pin(tiled)
+    levels = sorted(r[0] for r in tiled.select("_level").distinct().collect())  # at most _BOX_LEVELS + 1 rows
+    tiled = tiled.drop("_level")
     lat, lon = single_sql("latitude"), single_sql("longitude")
+    probes = [square(str(k), slot(lat, -90.0, 180.0, str(k)), slot(lon, -180.0, 360.0, str(k))) for k in levels or [0]]
     placed = points.where(F.expr(f"not isnan({lat}) and not isnan({lon})")).withColumn(
-        "_square", F.expr(f"{square(lat, -90.0, rows)} * {columns} + {square(lon, -180.0, columns)}")
+        "_square", F.explode(F.array(*map(F.expr, probes)))
     )
     if fits_broadcast(tiled, max_bytes):
         met = placed.join(F.broadcast(tiled), "_square")

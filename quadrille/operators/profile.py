@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,34 +52,45 @@ def distinct_sizes(sizes: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, count, null_count, mean, std, min, q25, q50, q75, max)``, one row per numeric column.
 
-    Quartiles are exact values at discrete rank, found by a distributed sort and a look at three positions.
+    One aggregation has the moments of all columns. Quartiles are exact values at discrete rank: the different values of all
+    columns are counted and summed up in one distributed sort.
     """
-    return reduce(DataFrame.unionByName, (_describe_one(df, c) for c in columns))
-
-
-def _describe_one(df: DataFrame, column: str) -> DataFrame:
-    values = df.select(F.col(column).cast("double").alias("v"))
-    moments = values.agg(
-        F.count("v").alias("count"),
-        F.count(F.when(F.col("v").isNull(), 1)).alias("null_count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+    columns = list(columns)
+    values = {c: F.col(c).cast("double") for c in columns}
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(k).alias("_no"),
+                F.lit(c).alias("column"),
+                F.count(values[c]).alias("count"),
+                F.count(F.when(values[c].isNull(), 1)).alias("null_count"),
+                F.avg(values[c]).alias("mean"),
+                F.stddev_samp(values[c]).alias("std"),
+                F.min(values[c]).alias("min"),
+                F.max(values[c]).alias("max"),
+            )
+            for k, c in enumerate(columns)
+        )
     )
+    moments = df.agg(rows.alias("_rows")).select(F.inline("_rows"))
+    listed = F.array(*(F.struct(F.lit(k).alias("_no"), values[c].alias("v")) for k, c in enumerate(columns)))
     # Equal values are counted first, so a value that fills a third of the table is one row of the sort.
-    counted = values.where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_total(counted, ["v"], "n", "upto")
-    total = F.col("_total")
-    at = ranked.withColumn("_total", counted.agg(F.sum("n")).scalar())
+    counted = df.select(F.inline(listed)).where("v is not null").groupBy("_no", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_total(counted, ["_no", "v"], "n", "upto")
+    # One row per column: where its values begin and end in the running total.
+    spans = ranked.groupBy("_no").agg(F.min(F.col("upto") - F.col("n")).alias("_from"), F.max("upto").alias("_to"))
 
     def quantile(q: float, name: str):
         # Least value whose cumulative share reaches q.
-        return F.min(F.when(F.col("upto") >= F.ceil(total * F.lit(q)), F.col("v"))).alias(name)
+        reached = F.col("upto") - F.col("_from") >= F.ceil((F.col("_to") - F.col("_from")) * F.lit(q))
+        return F.min(F.when(reached, F.col("v"))).alias(name)
 
-    quartiles = at.agg(quantile(0.25, "q25"), quantile(0.5, "q50"), quantile(0.75, "q75"))
-    picked = [quartiles.select(q).scalar().alias(q) for q in ("q25", "q50", "q75")]
-    return moments.select(F.lit(column).alias("column"), "count", "null_count", "mean", "std", "min", *picked, "max")
+    quartiles = (
+        ranked.join(F.broadcast(spans), "_no").groupBy("_no").agg(quantile(0.25, "q25"), quantile(0.5, "q50"), quantile(0.75, "q75"))
+    )
+    return moments.join(F.broadcast(quartiles), "_no", "left").select(
+        "column", "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    )
 
 
 def benchmark_summary(samples: DataFrame) -> DataFrame:

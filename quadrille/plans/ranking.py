@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrille.plans.durable import pin
+from quadrille.plans.sizing import BROADCAST_BYTES, fits_broadcast
 
 _POSITION_BITS = 33
 
@@ -44,6 +46,24 @@ def dense_index(
     )
 
 
+def keyed_index(
+    df: DataFrame, order_by: Sequence[str], name: str = "index", start: int = 0, *, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``dense_index`` for rows with large columns: only the order columns are sorted and pinned.
+
+    They identify a row, so the numbers come back by a hash join on them, and the other columns are moved once at most.
+    Where two rows are equal in them, the whole rows are numbered instead. ``df`` is read twice and must give
+    the same rows each time.
+    """
+    keys = dense_index(df.select(*order_by), order_by, name, start)
+    if not keys.groupBy(*order_by).count().where("count > 1").isEmpty():
+        return dense_index(df, order_by, name, start)
+    side = keys.select(*(F.col(c).alias(f"_key{k}") for k, c in enumerate(order_by)), name)
+    side = F.broadcast(side) if fits_broadcast(side, max_bytes) else side.hint("shuffle_hash")
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_key{k}")) for k, c in enumerate(order_by)))
+    return df.join(side, same).select(*df.columns, name)
+
+
 def running_total(df: DataFrame, order_by: Sequence[str | Column], value: str, name: str) -> DataFrame:
     """Inclusive running sum in a total order, without a single-partition window."""
     tagged = partition_position(pin(df.orderBy(*order_by)))

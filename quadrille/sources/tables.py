@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quadrille.operators.quadtree import ACTIVE, active_cells, describe_cells
-from quadrille.plans.ranking import dense_index
+from quadrille.plans.ranking import keyed_index
 from quadrille.plans.sizing import broadcast_if_small
 
 #: Rows of one shard per file; a shard with more rows is several files in its folder.
@@ -67,13 +67,13 @@ def _existing(spark: SparkSession, folder: str) -> DataFrame | None:
 def append_rows(df: DataFrame, folder: str, order_by: list[str]) -> None:
     """Appends id-less rows; ids continue after the last one of the table in the given order. For one writer at a time."""
     start = next_id(df.sparkSession, folder)
-    dense_index(df.drop("id"), order_by, "id", start).write.mode("append").parquet(folder)
+    keyed_index(df.drop("id"), order_by, "id", start).write.mode("append").parquet(folder)
 
 
 def copy_table(source: DataFrame, folder: str, order_by: list[str] | None = None) -> None:
     """Copies every row without its id; the target numbers them anew in the order of the old ids."""
     start = next_id(source.sparkSession, folder)
-    numbered = dense_index(source.withColumnRenamed("id", "_old"), order_by or ["_old"], "id", start)
+    numbered = keyed_index(source.withColumnRenamed("id", "_old"), order_by or ["_old"], "id", start)
     numbered.drop("_old").write.mode("append").parquet(folder)
 
 

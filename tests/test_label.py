@@ -177,3 +177,18 @@ def test_smoothing_shuffles_points_not_pairs(crowded):
     plan = plan_of(smoothed_labels(labelled, classes))
     assert "Window" in plan
     assert plan.count("Exchange hashpartitioning(id") <= 1
+
+
+def test_box_candidates_do_not_grow_with_the_boxes(spark):
+    """Small squares meet the points of their own size only, whatever else is on the globe."""
+    rng = random.Random(12)
+    rows = [(i, 40 + rng.random(), 10 + rng.random()) for i in range(400)]
+    boxes = [(k, 40 + k / 200, 40 + (k + 1) / 200, 10.0, 10.01) for k in range(200)] + [(-1, -90.0, 90.0, -180.0, 180.0), (-2, 40.0, 40.0, 10.0, 10.0)]
+    df = spark.createDataFrame(boxes, "box int, south double, north double, west double, east double")
+    points = make(spark, rows)
+    got = sorted((r.id, r.box) for r in box_join(points, df).collect())
+    placed = {r.id: (r.latitude, r.longitude) for r in points.collect()}
+    assert got == sorted(
+        (i, b) for i, (lat, lon) in placed.items() for b, s, n, w, e in boxes if s <= lat < n and w <= lon < e
+    )
+    assert box_join(points, df.limit(0)).count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrille.plans.asof import asof_backward
 from quadrille.plans.durable import durable_root, fresh_folder
-from quadrille.plans.ranking import dense_index, running_total
+from quadrille.plans.ranking import dense_index, keyed_index, running_total
 from quadrille.plans.salting import salted_join
 from quadrille.plans.sizing import broadcast_if_small, fits_broadcast, measured_bytes
 from tests.conftest import plan_of
@@ -111,3 +111,17 @@ def test_sizes_are_measured(spark):
 def test_checkpoint_folder_of_the_session_is_used(spark):
     assert fresh_folder(spark, "x").startswith(durable_root(spark))
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
+
+
+def test_keyed_index_sorts_keys_alone(spark):
+    rows = [(k, None if k == 3 else k % 5, f"image {k}") for k in range(200)]
+    df = spark.createDataFrame(rows, "k long, g long, image string").repartition(5)
+    numbered = keyed_index(df, ["g", "k"], "i", 7)
+    place = {r[0]: n for n, r in enumerate(sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0])), 7)}
+    assert {r.k: (r.i, r.image) for r in numbered.collect()} == {k: (place[k], image) for k, _, image in rows}
+    # Equal keys: every row keeps a number of its own.
+    assert sorted(r.i for r in keyed_index(df, ["g"], "i").collect()) == list(range(200))
+    # Beyond the broadcast bound too, no sort moves the other columns.
+    wide = keyed_index(df, ["g", "k"], "i", 7, max_bytes=1)
+    assert "SortMergeJoin" not in plan_of(numbered) and "ShuffledHashJoin" in plan_of(wide)
+    assert sorted(numbered.collect(), key=str) == sorted(wide.collect(), key=str)
