@@ -179,8 +179,8 @@ def test_smoothing_shuffles_points_not_pairs(crowded):
     assert plan.count("Exchange hashpartitioning(id") <= 1
 
 
-def test_box_candidates_do_not_grow_with_the_boxes(spark):
-    """Small squares meet the points of their own size only, whatever else is on the globe."""
+def test_boxes_of_mixed_sizes(spark):
+    """Thin boxes, the whole world and an empty box together; no boxes at all."""
     rng = random.Random(12)
     rows = [(i, 40 + rng.random(), 10 + rng.random()) for i in range(400)]
     boxes = [(k, 40 + k / 200, 40 + (k + 1) / 200, 10.0, 10.01) for k in range(200)] + [(-1, -90.0, 90.0, -180.0, 180.0), (-2, 40.0, 40.0, 10.0, 10.0)]
