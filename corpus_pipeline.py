@@ -25,8 +25,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that stand earlier in the corpus; ``n_chars`` follows the text."""
-    kept = line_dedup.without_repeats(docs).drop("spans")
+    """Texts without lines and passages that stand earlier in the corpus; ``n_chars`` follows the text."""
+    kept = line_dedup.without_repeats(docs, unit="passage").drop("spans")
     return kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
 
 

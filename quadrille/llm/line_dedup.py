@@ -1,8 +1,12 @@
-"""Removal of lines or paragraphs that stand earlier in the corpus, by hashes of normalised units.
+"""Removal of lines, paragraphs or passages that stand earlier in the corpus, by hashes of normalised units.
 
 A unit is a line (or a paragraph: text between blank lines). Normalised, it is folded to lower case (A-Z), its white
 space is single blanks, and it has at least ``least_words`` words; shorter units are never removed. All units with one
 digest are grouped over the whole corpus; the earliest in rank (doc_id, then place in the text) stays, the others go.
+
+With ``unit="passage"`` the sentences of a line are units beside the line, since passages are often copied into the
+middle of a line. A sentence is also hashed with the short ones that follow it. Repeated lines go as before; repeated
+sentences go where a run of them, across line ends too, has at least ``least_run`` words.
 """
 
 from __future__ import annotations
@@ -19,17 +23,72 @@ from quadrille.llm.tables import stored
 
 #: Units of fewer words are kept wherever they stand: they are headings and list items more often than copies.
 LEAST_WORDS = 5
+#: Words of a run of repeated sentences inside lines that is removed; shorter runs are phrases more often than copies.
+LEAST_RUN = 25
 _UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n]+(?:\n(?![^\S\n]*(?:\n|\Z))[^\n]+)*")}
+_SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s|\Z)|(?=\n)|\Z)")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 _FOUND = "doc_id long, mark long, start int, stop int, digest binary"
 
 
+def _digest(words: list[str]) -> bytes:
+    return hashlib.md5(" ".join(words).encode()).digest()[:12]
+
+
 def units_of(text: str, unit: str, least_words: int) -> Iterator[tuple[int, int, bytes]]:
     """Start, end (characters of the original text) and digest of every unit that is long enough."""
-    for match in _UNITS[unit].finditer(text):
+    for match in _UNITS["line" if unit == "passage" else unit].finditer(text):
+        words = match[0].translate(_LOWER).split()
+        if len(words) >= least_words:
+            yield match.start(), match.end(), _digest(words)
+            if unit == "passage":
+                yield from _sentences(text, match.start(), match.end(), least_words)
+
+
+def _sentences(text: str, start: int, stop: int, least_words: int) -> Iterator[tuple[int, int, bytes]]:
+    """The long sentences of a line, and each with the short ones behind it; not the line itself."""
+    long: list[str] = []
+    begin = end = start
+
+    def with_tail() -> Iterator[tuple[int, int, bytes]]:
+        if tail and (begin, end) != (start, stop):
+            yield begin, end, _digest(long + tail)
+
+    tail: list[str] = []
+    for match in _SENTENCE.finditer(text, start, stop):
         words = match[0].translate(_LOWER).split()
         if len(words) >= least_words:
-            yield match.start(), match.end(), hashlib.md5(" ".join(words).encode()).digest()
+            yield from with_tail()
+            long, tail, begin, end = words, [], match.start(), match.end()
+            if (begin, end) != (start, stop):
+                yield begin, end, _digest(long)
+        elif long:
+            tail += words
+            end = match.end()
+    yield from with_tail()
+
+
+def removable(text: str, spans: list[tuple[int, int]], unit: str, least_words: int, least_run: int) -> list[tuple[int, int]]:
+    """The spans of repeated units that go: all, or for passages the runs that are long enough or else their whole lines."""
+    if unit != "passage":
+        return spans
+    runs: list[list[int]] = []
+    for start, stop in sorted(spans):
+        if runs and (start <= runs[-1][1] or not text[runs[-1][1] : start].strip()):
+            runs[-1][1] = max(runs[-1][1], stop)
+        else:
+            runs.append([start, stop])
+    out = []
+    for start, stop in runs:
+        if len(text[start:stop].split()) >= least_run:
+            out.append((start, stop))
+            continue
+        for line in _UNITS["line"].finditer(text, start, stop):
+            begins = not line.start() or text[line.start() - 1] == "\n"
+            ends = line.end() == len(text) or text[line.end()] == "\n"
+            if begins and ends and len(line[0].split()) >= least_words:
+                out.append((line.start(), line.end()))
+    return out
 
 
 def _units(unit: str, least_words: int):
@@ -53,18 +112,19 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the spans; a removed unit takes one line break with it."""
+    """``text`` without the spans; what is removed from the start of a line takes the line break behind it along."""
     parts, at = [], 0
     for start, stop in sorted(spans):
         parts.append(text[at:start])
-        at = stop + 1 if text[stop : stop + 1] == "\n" else stop
+        whole = not start or text[start - 1] == "\n"
+        at = stop + 1 if whole and text[stop : stop + 1] == "\n" else stop
     parts.append(text[at:])
     kept = "".join(parts)
     return kept[:-1] if kept.endswith("\n") and not text.endswith("\n") else kept
 
 
 def removed_units(docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, key: str = "doc_id") -> DataFrame:
-    """``doc_id, mark, spans``: the character ranges to remove, a row per document that has any.
+    """``doc_id, mark, spans``: the character ranges of repeated units, a row per document that has any.
 
     ``mark`` is a hash of the text: together with the id it tells rows with repeated ids apart. Rows without
     an id rank last; equal rows (same id, same text) count as one and are treated alike.
@@ -81,20 +141,25 @@ def removed_units(docs: DataFrame, *, unit: str = "line", least_words: int = LEA
     return again.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 
 
-def _removal(schema):
+def _removal(schema, unit: str, least_words: int, least_run: int):
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-            kept = [_cut(t, [(s["start"], s["stop"]) for s in gone]) if gone else t for t, gone in zip(texts, spans)]
-            columns = {n: batch.column(n) for n in batch.schema.names} | {"text": pa.array(kept, batch.schema.field("text").type)}
+            gone = [removable(t, [(s["start"], s["stop"]) for s in found], unit, least_words, least_run) if found else [] for t, found in zip(texts, spans)]
+            kept = [_cut(t, cuts) if cuts else t for t, cuts in zip(texts, gone)]
+            removed = [[{"start": a, "stop": b} for a, b in sorted(cuts)] or None for cuts in gone]
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            columns |= {n: pa.array(v, batch.schema.field(n).type) for n, v in (("text", kept), ("spans", removed))}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return run
 
 
-def without_repeats(docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, key: str = "doc_id") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, key: str = "doc_id"
+) -> DataFrame:
     """The rows of ``docs`` with repeated units cut from ``text``, and ``spans``: what went, in original characters.
 
     All columns and all rows stay, also those whose text is empty afterwards. Null texts stay null, with null spans, as
@@ -105,4 +170,4 @@ def without_repeats(docs: DataFrame, *, unit: str = "line", least_words: int = L
     gone = gone.selectExpr("doc_id as _gone_id", "mark as _gone_mark", "spans")
     same = F.col(key).cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_mark"))
     full = docs.join(gone, same, "left").select(*docs.columns, "spans")
-    return full.mapInArrow(_removal(full.schema), full.schema)
+    return full.mapInArrow(_removal(full.schema, unit, least_words, least_run), full.schema)

@@ -40,7 +40,7 @@ def op2_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    kept = line_dedup.without_repeats(docs)
+    kept = line_dedup.without_repeats(docs, unit="passage")
     return kept.selectExpr("doc_id", "text", "coalesce(size(spans), 0) as n_removed", "spans as removed")
 
 

@@ -173,6 +173,74 @@ def test_line_dedup_units(spark):
     assert line_dedup.without_repeats(df, least_words=99).first().text == text
 
 
+def without_passages(rows, least=5, run=25):
+    """Plain Python: a flag per character of what stands earlier, then runs of flags."""
+    fold = lambda s: " ".join(s.translate(LOWER).split())
+    units = []
+    for doc, text in sorted(rows):
+        at = 0
+        for line in text.split("\n"):
+            found, pieces, place = [(at, at + len(line))], re.split(r"(?<=[.!?])(?=\s)", line), at
+            for k, piece in enumerate(pieces):
+                place += len(piece)
+                if len(piece.split()) >= least:
+                    end, more = place, k + 1
+                    found.append((place - len(piece), end))
+                    while more < len(pieces) and len(pieces[more].split()) < least:
+                        end, more = end + len(pieces[more]), more + 1
+                    found.append((place - len(piece), end))
+            units += [(doc, a, b, fold(text[a:b])) for a, b in found if len(text[a:b].split()) >= least]
+            at += len(line) + 1
+    first = {}
+    for doc, a, b, words in units:
+        first[words] = min(first.get(words, (doc, a)), (doc, a))
+    texts, flags = dict(rows), {d: bytearray(len(t)) for d, t in rows}
+    for doc, a, b, words in units:
+        if first[words] != (doc, a):
+            flags[doc][a:b] = b"\1" * (b - a)
+    out = {}
+    for doc, text in texts.items():
+        flag = flags[doc]
+        for gap in re.finditer(r"\s+", text):
+            if gap.start() and gap.end() < len(text) and flag[gap.start() - 1] and flag[gap.end()]:
+                flag[gap.start() : gap.end()] = b"\1" * len(gap[0])
+        spans = []
+        for match in re.finditer(b"\1+", bytes(flag)):
+            a, b = match.span()
+            if len(text[a:b].split()) >= run:
+                spans.append((a, b))
+                continue
+            lines = [m for m in re.finditer(r"(?m)^[^\n]+$", text) if a <= m.start() and m.end() <= b]
+            spans += [m.span() for m in lines if len(m[0].split()) >= least]
+        keep = bytearray(b"\1" * len(text))
+        for a, b in spans:
+            whole = a == 0 or text[a - 1] == "\n"
+            keep[a : b + 1 if whole and b < len(text) and text[b] == "\n" else b] = b"\0" * (min(len(text), b + 1 if whole and b < len(text) and text[b] == "\n" else b) - a)
+        kept = "".join(c for c, k in zip(text, keep) if k)
+        out[doc] = kept[:-1] if kept.endswith("\n") and not text.endswith("\n") else kept
+    return out
+
+
+def test_passages_inside_lines(spark, docs, nothing):
+    passage = " ".join(f"Sentence {k} of the shared part has several words." for k in range(6)) + " Yes. End."
+    texts = {
+        1: f"Own words open the first of these texts. {passage} And own words close it as well.",
+        2: f"Quite another start it has here, this one. {passage}\nA line of its own after that.",
+        3: f"{passage}\n{passage.upper()}",
+        4: "Sentence 2 of the shared part has several words. But it is quoted alone, so it stays.",
+        5: "A line of its own after that.\n\nNo. No. No. No.",
+        6: "",
+    }
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in line_dedup.without_repeats(table, unit="passage").collect()}
+    assert {d: r.text for d, r in got.items()} == without_passages(list(texts.items()))
+    assert got[1].text == texts[1] and got[4].text == texts[4] and got[1].spans is None and got[4].spans is None
+    assert got[2].text == "Quite another start it has here, this one.\nA line of its own after that."
+    assert [tuple(s) for s in got[2].spans] == [(42, 43 + len(passage))] and got[3].text == "" and got[5].text == "\nNo. No. No. No."
+    assert line_dedup.without_repeats(docs, unit="passage").count() == docs.count()
+    assert line_dedup.without_repeats(nothing, unit="passage").count() == 0
+
+
 def contaminated(rows, items, width=13):
     cut = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER).encode())
     windows = defaultdict(set)

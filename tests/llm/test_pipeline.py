@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quadrille.llm import decontaminate, line_dedup, ngram_join
+from quadrille.llm import decontaminate, ngram_join
 from quadrille.llm.queries import QUERIES
 from quadrille.llm.tables import read_table, stored
 from tests.conftest import SF
-from tests.llm.test_operators import contaminated, groups
+from tests.llm.test_operators import contaminated, groups, without_passages
 
 
 def test_stages(spark):
@@ -25,17 +25,7 @@ def test_stages(spark):
     gone = {d for d, _ in texts["quality classifier"]} - {d for d, _ in good}
     assert gone and sum(labels.get(d, 0) == 0 for d in gone) >= 0.9 * len(gone)
     assert sorted(d for d, _ in one) == sorted(d for d, _, c in groups(good) if d == c)
-    lines, expected = set(), {}
-    for doc, text in sorted(one):
-        kept = []
-        for line in text.split("\n"):
-            words = line.translate({c: c + 32 for c in range(65, 91)}).split()
-            if len(words) < line_dedup.LEAST_WORDS or " ".join(words) not in lines:
-                kept.append(line)
-            if len(words) >= line_dedup.LEAST_WORDS:
-                lines.add(" ".join(words))
-        expected[doc] = "\n".join(kept)
-    assert dict(cut) == expected
+    assert dict(cut) == without_passages(one)
     items = [(r.item_id, r.text) for r in read_table(spark, SF, "benchmark").collect()]
     assert sorted(d for d, _ in clean) == sorted(r[0] for r in contaminated(cut, items) if not r[-1])
     assert {r.doc_id for r in docs.select("doc_id").collect()} == {d for d, _ in clean}
