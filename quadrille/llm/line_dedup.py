@@ -7,6 +7,12 @@ digest are grouped over the whole corpus; the earliest in rank (doc_id, then pla
 With ``unit="passage"`` the sentences of a line are units beside the line, since passages are often copied into the
 middle of a line. A sentence is also hashed with the short ones that follow it. Repeated lines go as before; repeated
 sentences go where a run of them, across line ends too, has at least ``least_run`` words.
+
+Passages whose edges lie anywhere, also inside sentences or in text without sentence marks, are found word by word: each
+run of ``least_passage`` words that stands earlier goes, so of a longer copy all words go. Words are parted by ASCII white
+space here, and known by 64-bit hashes. A run is looked up only when its anchor, the least hash among its runs of
+``ANCHOR`` words, occurs more than once; equal runs have equal anchors, so none is missed. The anchors
+that do are broadcast as bits: a wrong bit makes one more run to look up, never another result.
 """
 
 from __future__ import annotations
@@ -15,19 +21,28 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.llm.tables import stored
+from quadrille.llm.ngram_join import FRAGMENT_BYTES
+from quadrille.llm.tables import stored, text_bytes
+from quadrille.llm.words import Words, blob, chunks, find_words, joined, mix, runs, sequence_hashes, text_buffers
 
 #: Units of fewer words are kept wherever they stand: they are headings and list items more often than copies.
 LEAST_WORDS = 5
 #: Words of a run of repeated sentences inside lines that is removed; shorter runs are phrases more often than copies.
 LEAST_RUN = 25
+#: Words of a repeated passage that goes wherever its edges are: "over 50 words".
+LEAST_PASSAGE = 51
+#: Words of an anchor; bits an anchor that occurs again has in the table of them, and the most bits of that table.
+ANCHOR, BITS_PER_ANCHOR, MOST_BITS = 16, 16, 1 << 29
 _UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n]+(?:\n(?![^\S\n]*(?:\n|\Z))[^\n]+)*")}
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s|\Z)|(?=\n)|\Z)")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
+_RUNS = "fragment int, ids binary, nulls binary, marks binary, counts binary, places binary, digests binary"
+_AGAIN = "doc_id long, mark long, spans array<long>"
 _FOUND = "doc_id long, mark long, start int, stop int, digest binary"
 
 
@@ -81,6 +96,8 @@ def removable(text: str, spans: list[tuple[int, int]], unit: str, least_words: i
     out = []
     for start, stop in runs:
         if len(text[start:stop].split()) >= least_run:
+            while text[start - 1 : start] in (" ", "\t"):
+                start -= 1
             out.append((start, stop))
             continue
         for line in _UNITS["line"].finditer(text, start, stop):
@@ -111,6 +128,95 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in _FOUND.split(", ")])
 
 
+def _anchors(words: Words, width: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of all runs of ``least`` words, the place of the anchor of each, and the hash of every run of ``width`` words."""
+    hashes = sequence_hashes(words.hash, width)
+    first = np.arange(max(0, len(words.hash) - least + 1))
+    if not len(first):
+        return first, first, hashes
+    first = first[words.doc[: len(first)] == words.doc[least - 1 :]]
+    place = np.lib.stride_tricks.sliding_window_view(hashes, least - width + 1).argmin(1)[first] + first
+    return first, place, hashes
+
+
+def _anchoring(width: int, least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            _, place, hashes = _anchors(find_words(*text_buffers(batch.column("text"))), width, least)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[np.unique(place)].view(np.int64))], names=["anchor"])
+
+    return run
+
+
+def _running(table, width: int, least: int, fragments: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(table.value, np.uint8)
+        for batch in chunks(batches):
+            data, offsets = text_buffers(batch.column("text"))
+            words = find_words(data, offsets)
+            first, place, hashes = _anchors(words, width, least)
+            slot = (hashes[place] & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+            first = first[(bits[slot >> 3] >> (slot & 7)) & 1 == 1]
+            digest = np.full(len(first), least, np.uint64)
+            for k in (*range(0, least - width, width), least - width):
+                digest = mix(digest ^ hashes[first + k])
+            # Characters before each byte, as bytes that do not continue a character.
+            chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+            doc = words.doc[first]
+            begin = chars[offsets[doc]]
+            places = (chars[words.start[first]] - begin) << 32 | (chars[words.end[first + least - 1]] - begin)
+            ids, nulls = batch.column("doc_id").fill_null(0).to_numpy(), batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            marks = batch.column("mark").to_numpy()
+            part = ((digest >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+            order = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[order], np.arange(fragments + 1, dtype=np.uint64))
+            rows = []
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                own = order[ends[k] : ends[k + 1]]
+                at, count = runs(doc[own])
+                docs = doc[own][at]
+                rows.append((k, blob(ids[docs]), blob(nulls[docs]), blob(marks[docs]), blob(count), blob(places[own]), blob(digest[own])))
+            kinds = (pa.int32(), *[pa.binary()] * 6)
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in _RUNS.split(", ")])
+
+    return run
+
+
+def _later(table: pa.Table) -> pa.Table:
+    """Of one fragment: the places of runs of words that stand earlier and do not overlap the earliest one, by document."""
+    counts = joined(table.column("counts"), np.int64)
+    ids, nulls, marks = (np.repeat(joined(table.column(n), t), counts) for n, t in (("ids", np.int64), ("nulls", np.bool_), ("marks", np.int64)))
+    places, digests = joined(table.column("places"), np.int64), joined(table.column("digests"), np.uint64)
+    order = np.lexsort((places, marks, ids, nulls, digests))
+    at, count = runs(digests[order])
+    first = np.repeat(order[at], count)
+    own = (ids[order] == ids[first]) & (nulls[order] == nulls[first]) & (marks[order] == marks[first])
+    order = order[~own | (places[order] >> 32 >= places[first] & 0xFFFFFFFF)]
+    order = order[np.lexsort((places[order], marks[order], ids[order], nulls[order]))]
+    ids, nulls, marks, places = ids[order], nulls[order], marks[order], places[order]
+    change = (ids[1:] != ids[:-1]) | (nulls[1:] != nulls[:-1]) | (marks[1:] != marks[:-1])
+    at = np.flatnonzero(np.concatenate(([True], change))) if len(order) else np.zeros(0, np.int64)
+    spans = pa.ListArray.from_arrays(pa.array(np.append(at, len(order)).astype(np.int32)), pa.array(places))
+    return pa.table({"doc_id": pa.array(ids[at], mask=nulls[at]), "mark": marks[at], "spans": spans})
+
+
+def _repeated_runs(source: DataFrame, least: int) -> DataFrame:
+    """``doc_id, mark, spans`` of all runs of ``least`` words that stand earlier, and not in part in the same place."""
+    width = max(1, min(ANCHOR, least // 2))
+    anchors = source.select("text").mapInArrow(_anchoring(width, least), "anchor long").groupBy("anchor").count()
+    anchors = stored(anchors.where("count > 1").select("anchor"), "anchors")
+    bits = min(MOST_BITS, 1 << max(16, (BITS_PER_ANCHOR * anchors.count()).bit_length()))
+    slots = anchors.select((F.col("anchor").bitwiseAND(F.lit(bits - 1)) + 1).alias("slot"))
+    parts = slots.groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("part"))
+    table = bytearray(bits // 8)
+    for k, part in parts.collect():  # 4 KB each, ``MOST_BITS`` together
+        table[(k - 1) * len(part) : k * len(part)] = part
+    shared = source.sparkSession.sparkContext.broadcast(bytes(table))
+    fragments = max(8, text_bytes(source) // FRAGMENT_BYTES)
+    return source.mapInArrow(_running(shared, width, least, fragments), _RUNS).groupBy("fragment").applyInArrow(_later, _AGAIN)
+
+
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
     """``text`` without the spans; what is removed from the start of a line takes the line break behind it along."""
     parts, at = [], 0
@@ -123,8 +229,11 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
     return kept[:-1] if kept.endswith("\n") and not text.endswith("\n") else kept
 
 
-def removed_units(docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, key: str = "doc_id") -> DataFrame:
-    """``doc_id, mark, spans``: the character ranges of repeated units, a row per document that has any.
+def removed_units(
+    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_passage: int = LEAST_PASSAGE, key: str = "doc_id"
+) -> DataFrame:
+    """``doc_id, mark, spans``: the character ranges of repeated units, and of repeated runs of words for passages, a row
+    per document that has any. A range is one number, start * 2**32 + stop.
 
     ``mark`` is a hash of the text: together with the id it tells rows with repeated ids apart. Rows without
     an id rank last; equal rows (same id, same text) count as one and are treated alike.
@@ -138,27 +247,30 @@ def removed_units(docs: DataFrame, *, unit: str = "line", least_words: int = LEA
         found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first"), "digests"
     )
     again = found.join(first, "digest").where(~rank.eqNullSafe(F.col("first")))
-    return again.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    again = again.selectExpr("doc_id", "mark", "array(shiftleft(cast(start as bigint), 32) | stop) as spans")
+    if unit == "passage":
+        again = again.unionByName(_repeated_runs(source, least_passage))
+    return again.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _removal(schema, unit: str, least_words: int, least_run: int):
-    names = schema.names
+    names, kind = schema.names, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-            gone = [removable(t, [(s["start"], s["stop"]) for s in found], unit, least_words, least_run) if found else [] for t, found in zip(texts, spans)]
+            gone = [removable(t, [(s >> 32, s & 0xFFFFFFFF) for s in set(found)], unit, least_words, least_run) if found else [] for t, found in zip(texts, spans)]
             kept = [_cut(t, cuts) if cuts else t for t, cuts in zip(texts, gone)]
             removed = [[{"start": a, "stop": b} for a, b in sorted(cuts)] or None for cuts in gone]
             columns = {n: batch.column(n) for n in batch.schema.names}
-            columns |= {n: pa.array(v, batch.schema.field(n).type) for n, v in (("text", kept), ("spans", removed))}
+            columns |= {"text": pa.array(kept, batch.schema.field("text").type), "spans": pa.array(removed, kind)}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return run
 
 
 def without_repeats(
-    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, key: str = "doc_id"
+    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, least_passage: int = LEAST_PASSAGE, key: str = "doc_id"
 ) -> DataFrame:
     """The rows of ``docs`` with repeated units cut from ``text``, and ``spans``: what went, in original characters.
 
@@ -166,8 +278,9 @@ def without_repeats(
     have all texts that lose nothing. A column of ``docs`` named ``spans`` is replaced.
     """
     docs = docs.drop("spans")
-    gone = removed_units(docs, unit=unit, least_words=least_words, key=key)
+    gone = removed_units(docs, unit=unit, least_words=least_words, least_passage=least_passage, key=key)
     gone = gone.selectExpr("doc_id as _gone_id", "mark as _gone_mark", "spans")
     same = F.col(key).cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_mark"))
     full = docs.join(gone, same, "left").select(*docs.columns, "spans")
-    return full.mapInArrow(_removal(full.schema, unit, least_words, least_run), full.schema)
+    schema = docs.withColumn("spans", F.lit(None).cast("array<struct<start:int,stop:int>>")).schema
+    return full.mapInArrow(_removal(schema, unit, least_words, least_run), schema)

@@ -241,6 +241,42 @@ def test_passages_inside_lines(spark, docs, nothing):
     assert line_dedup.without_repeats(nothing, unit="passage").count() == 0
 
 
+def left_over(rows, least=51):
+    """Plain Python: for each text the character flags of runs of ``least`` words that stand earlier."""
+    seen, out = {}, {}
+    for doc, text in sorted(rows):
+        words = [(m.start(), m.end(), m[0].translate(LOWER)) for m in re.finditer(r"[^ \t\n\r\v\f]+", text)]
+        out[doc] = bytearray(len(text))
+        for k in range(len(words) - least + 1):
+            own, (a, b) = tuple(w for _, _, w in words[k : k + least]), (words[k][0], words[k + least - 1][1])
+            where = seen.setdefault(own, (doc, b))
+            if where[0] != doc or a >= where[1]:
+                out[doc][a:b] = b"\1" * (b - a)
+    return out
+
+
+def test_passages_with_edges_inside_sentences(spark):
+    draw = np.random.default_rng(3)
+    word = lambda n, tag: " ".join(f"{tag}{x}" for x in draw.integers(0, 10**9, n))
+    passage, long = word(55, "pé"), ". ".join(word(9, "s") for _ in range(8))
+    texts = {
+        1: f"{word(20, 'a')} {passage} {word(9, 'a')}. {long} {word(5, 'a')}.",
+        2: f"{word(30, 'b')} {passage.replace('p', 'P')} {word(7, 'b')}",  # no sentence marks
+        3: f"{word(3, 'ü')} {long[5:]} {word(4, 'c')}. {word(6, 'c')}.",  # from the middle of a sentence on
+        4: f"{word(8, 'd')} {' '.join(passage.split()[:50])} {word(8, 'd')}",  # too short
+        5: f"{word(4, 'e')}\n{passage.replace(' ', chr(10), 20)} {word(4, 'e')}",
+        6: " ".join(["again"] * 200),
+    }
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in line_dedup.without_repeats(table, unit="passage").collect()}
+    flags = left_over(list(texts.items()))
+    for doc, text in texts.items():
+        kept = "".join(c for c, gone in zip(text, flags[doc]) if not gone)
+        assert got[doc].split() == kept.split(), doc
+    assert [any(flags[d]) for d in texts] == [False, True, True, False, True, True] and got[1] == texts[1] and got[4] == texts[4]
+    assert len(got[2].split()) == 37 and "  " not in got[2] and len(got[6].split()) == 51
+
+
 def contaminated(rows, items, width=13):
     cut = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER).encode())
     windows = defaultdict(set)
