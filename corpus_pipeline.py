@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from quadrille.llm.tables import read_table, stored
+from quadrille.llm.tables import numbered, read_table, stored
 from quadrille.session import ship
 
 
@@ -18,10 +18,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the document with the smallest id; rows without an id stay."""
-    groups = ngram_join.near_duplicates(docs, width=5, percent=75)
-    gone = stored(groups.where("doc_id != component_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of near duplicates the row with the smallest id, then the smallest row number; rows without an id rank last."""
+    rows = numbered(docs, "_row")
+    groups = ngram_join.near_duplicates(rows, width=5, percent=75, key="_row").selectExpr("doc_id as _row", "component_id as comp")
+    shared = stored(groups.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp"), "groups")
+    members = stored(groups.join(shared, "comp", "left_semi").join(rows.select("_row", F.col("doc_id").alias("id")), "_row"), "members")
+    first = stored(members.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_row")).alias("first")), "first")
+    gone = stored(members.join(first, "comp").where("_row != first._row").select("_row"), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +35,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages; rows without an id stay."""
-    judged = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    gone = stored(judged.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Rows without benchmark passages, whatever their ids."""
+    rows = numbered(docs, "_row")
+    judged = decontaminate.contamination(rows, read_table(spark, sf_dir, "benchmark"), key="_row")
+    gone = stored(judged.where("contaminated").selectExpr("doc_id as _row"), "contaminated")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,22 @@ def read_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number for every row: its file and its place in it, the same in every scan however files are split.
+
+    What is not a plain scan of files is stored first.
+    """
+    try:
+        places = docs.select("*", "_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        docs = stored(docs, "rows")
+        places = docs.select("*", "_metadata.file_path", "_metadata.row_index")
+    paths = sorted(r[0] for r in places.select("file_path").distinct().collect())  # a row per file
+    files = docs.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), "file_path string, file long")
+    places = places.join(F.broadcast(files), "file_path")
+    return places.select(*docs.columns, F.expr("shiftleft(file, 40) + row_index").alias(name))
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, the measure for the number of fragments and shards."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -32,6 +32,18 @@ def test_stages(spark):
     assert max(r.n for r in docs.groupBy("sequence_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()) <= 2048
 
 
+def test_rows_with_repeated_and_null_ids(spark):
+    words = lambda tag, n=40: " ".join(f"{tag}{k}" for k in range(n))
+    item = next(r.text for r in read_table(spark, SF, "benchmark").collect() if len((r.text or "").split()) >= 13)
+    copies = [(5, words("a")), (5, words("a")), (5, words("a") + " end"), (None, words("a")), (9, words("a")), (None, words("b")), (None, words("b")), (7, words("c"))]
+    both = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for table in (both(copies), stored(both(copies), "copies")):
+        kept = corpus_pipeline.keep_one_of_each_group(spark, table, SF).collect()
+        assert sorted((str(r.doc_id), r.text[:1]) for r in kept) == [("5", "a"), ("7", "c"), ("None", "b")]
+    mixed = [(1, item), (1, words("clean")), (None, item), (None, words("other")), (2, item)]
+    assert sorted(r.text[:5] for r in corpus_pipeline.keep_clean(spark, both(mixed), SF).collect()) == ["clean", "other"]
+
+
 def test_every_query_is_listed():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
     assert decontaminate.SHINGLE <= 13 and ngram_join.ORDER_FRAGMENTS > 1
