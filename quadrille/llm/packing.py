@@ -5,8 +5,9 @@ histogram of ``capacity`` numbers however large the corpus. The driver solves th
 pieces of each length, and places each piece by its rank.
 
 Bin completion (branch and bound): the largest length left opens a sequence; the undominated fillings of the rest
-of it are the branches, least waste first, each used as often as the counts allow. A branch is pruned when
-the waste so far is more than the incumbent could have had. The first incumbent is best-fit decreasing.
+of it are the branches, each used as often as the counts allow, half as often, or once. A branch is pruned when
+the waste so far is more than the incumbent could have had. The first incumbent is best-fit decreasing. The tree is
+searched in rounds: round n allows paths that leave the first branches by n places in all, until a round leaves nothing out.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 from quadrille.llm.encode import encoder
 from quadrille.llm.tables import stored
 
-#: Branching nodes the search may open; the incumbent is returned when they are used up.
+#: Branches the search may open, over all rounds; the incumbent is returned when they are used up. Nothing else ends it. A
+#: branch that is looked at and not opened counts as a sixteenth.
 MOST_NODES = 20_000
-#: Fillings tried at each node.
+#: Fillings that are tried first at each node, in all numbers of copies; all others follow.
 BRANCHES = 3
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long, ids array<int>"
 
@@ -135,6 +137,54 @@ def fillings(counts: np.ndarray, rest: int) -> list[tuple[int, ...]]:
     return sorted(out, key=lambda f: (-sum(f), len(f), f)) or [(single,)]
 
 
+def _every_filling(counts: np.ndarray, rest: int) -> Iterator[tuple[int, ...] | None]:
+    """One after the other, all ways to fill ``rest`` until nothing fits; None for each try that ends before that."""
+    lengths = np.flatnonzero(counts[: rest + 1])[::-1].tolist()
+    left = {x: int(counts[x]) for x in lengths}
+    # Each entry: place in ``lengths`` of the next one to try, room, whether anything was put in.
+    stack, filling = [[0, rest, False]], []
+    while stack:
+        at, room, some = stack[-1]
+        while at < len(lengths) and (lengths[at] > room or not left[lengths[at]]):
+            at += 1
+        if at < len(lengths):
+            stack[-1][:] = at + 1, room, True
+            left[lengths[at]] -= 1
+            filling.append(lengths[at])
+            stack.append([at, room - lengths[at], False])
+            continue
+        if not some:
+            yield None if any(left[x] and x <= room for x in lengths) else tuple(filling)
+        stack.pop()
+        if filling:
+            left[filling.pop()] += 1
+
+
+def _branches(counts: np.ndarray, capacity: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Patterns with the largest length, and copies: all, half, one. First the best guesses, then all others; no copies for a vain try."""
+    largest = int(np.flatnonzero(counts)[-1])
+    one = counts.copy()
+    one[largest] -= 1
+    guessed = fillings(one, capacity - largest)
+
+    def shares(filling: tuple[int, ...]) -> list[tuple[tuple[int, ...], int]]:
+        pattern = (largest, *filling)
+        most = min(int(counts[x]) // n for x, n in Counter(pattern).items())
+        return [(pattern, n) for n in sorted({most, (most + 1) // 2, 1}, reverse=True)]
+
+    first = [shares(f) for f in guessed[:BRANCHES]]
+    for k in range(3):
+        yield from (own[k] for own in first if k < len(own))
+    for filling in guessed[BRANCHES:]:
+        yield from shares(filling)
+    known = set(guessed)
+    for filling in _every_filling(one, capacity - largest):
+        if filling is None or filling in known:
+            yield (largest,), 0
+        else:
+            yield from shares(filling)
+
+
 def bin_completion(counts: np.ndarray, capacity: int, most_nodes: int = MOST_NODES) -> list[Pattern]:
     """A packing of ``counts[length]`` pieces of each length, as patterns."""
     counts = counts.astype(np.int64).copy()
@@ -146,34 +196,41 @@ def bin_completion(counts: np.ndarray, capacity: int, most_nodes: int = MOST_NOD
     best = best_fit(counts, capacity)
     incumbent = sum(p.copies for p in best)
     total = int((counts * np.arange(len(counts))).sum())
-    # Depth first; each entry: counts left, sequences and waste so far, patterns as a linked list.
-    stack, nodes = [(counts, 0, 0, None)], 0
-    while stack and incumbent > least and nodes < most_nodes:
-        left, used, waste, chosen = stack.pop()
-        # The next incumbent must save a sequence, so it may waste no more than this.
-        if waste > (incumbent - 1) * capacity - total:
-            continue
-        present = np.flatnonzero(left)
-        if not len(present):
-            incumbent, best = used, []
-            while chosen:
-                best.append(chosen[0])
-                chosen = chosen[1]
-            continue
-        nodes += 1
-        largest = int(present[-1])
-        one = left.copy()
-        one[largest] -= 1
-        branches = []
-        for filling in fillings(one, capacity - largest)[:BRANCHES]:
-            pattern = (largest, *filling)
-            copies = min(int(left[x]) // n for x, n in Counter(pattern).items())
-            after = left.copy()
+    nodes, limit, whole = 0, 0, False
+    while not whole and incumbent > least and nodes < most_nodes:
+        whole = True
+        # Each entry: branches to come, counts left, places that may be skipped, places so far, sequences and waste so far,
+        # patterns as a linked list.
+        stack = [[_branches(counts, capacity), counts, limit, 0, 0, 0, None]]
+        while stack and incumbent > least and nodes < most_nodes:
+            branches, left, spare, place, used, waste, chosen = stack[-1]
+            branch = next(branches, None)
+            if branch is None:
+                stack.pop()
+                continue
+            nodes += 1 / 16
+            pattern, copies = branch
+            lost = waste + copies * (capacity - sum(pattern))
+            # The next incumbent must save a sequence, so it may waste no more than this.
+            if not copies or lost > (incumbent - 1) * capacity - total:
+                continue
+            if place > spare:
+                whole = False
+                stack.pop()
+                continue
+            nodes += 15 / 16
+            stack[-1][3] += 1
+            after, path = left.copy(), (Pattern(pattern, copies), chosen)
             for x in pattern:
                 after[x] -= copies
-            lost = copies * (capacity - sum(pattern))
-            branches.append((after, used + copies, waste + lost, (Pattern(pattern, copies), chosen)))
-        stack.extend(reversed(branches))
+            if after.any():
+                stack.append([_branches(after, capacity), after, spare - place, 0, used + copies, lost, path])
+                continue
+            incumbent, best = used + copies, []
+            while path:
+                best.append(path[0])
+                path = path[1]
+        limit += 1
     return sure + best
 
 

@@ -4,6 +4,7 @@ and extra columns with names that the operators use themselves."""
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import defaultdict
@@ -422,6 +423,22 @@ def test_bin_completion_beats_best_fit():
     assert sum(p.copies for p in packing.bin_completion(counts, 10)) == 3
 
 
+@pytest.mark.parametrize("times", [1, 7, 1000])
+def test_bin_completion_branches_on_copies(times):
+    counts = np.bincount([35, 35, 32, 32, 15, 15, 14, 14, 14, 11, 11], minlength=61) * times
+    patterns = packing.bin_completion(counts, 60)
+    assert sum(p.copies for p in patterns) == 4 * times and all(sum(p.lengths) <= 60 for p in patterns)
+    assert (sum(p.copies * np.bincount(p.lengths, minlength=61) for p in patterns) == counts).all()
+
+
+def test_every_filling():
+    counts = np.bincount([7, 5, 5, 3, 3, 3, 2], minlength=13)
+    found = [f for f in packing._every_filling(counts, 12) if f]
+    every = {c for n in range(1, 8) for c in itertools.combinations([7, 5, 5, 3, 3, 3, 2], n) if sum(c) <= 12}
+    whole = {c for c in every if not any(counts[x] > c.count(x) and sum(c) + x <= 12 for x in (7, 5, 3, 2))}
+    assert len(found) == len(set(found)) and set(found) == whole
+
+
 def test_top_k(spark):
     draw = np.random.default_rng(5)
     rows = [(k, (draw.standard_normal(8) * (0.05 if k % 3 else 2)).astype(np.float32).tolist(), 1) for k in range(300)]
