@@ -136,8 +136,8 @@ def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values:
     complements = ~slices
     for n, query in enumerate(queries):
         found = approximate(query, slices, complements)
-        # One more than k, since the query's own row may be among them.
-        best = kth_value(found, live, k + 1)
+        # As many more than k as rows have the query's id, since they may be among them.
+        best = kth_value(found, live, k + int((ids == query_ids[n]).sum()))
         # The bits left out may be worth so much, in steps of the slices, rounded up.
         slack = -(-(((1 << shift) - 1) * int(np.abs(query).sum())) // (1 << shift))
         near = at_least(found, live, max(best - slack, 0))
@@ -173,9 +173,9 @@ def _write_block(folder: str, label: str, with_slices: bool):
 
 
 def _blocks(vectors: DataFrame, folder: str, label: str, size: int, with_slices: bool) -> DataFrame:
-    """Writes the vectors in blocks of about ``size`` rows, dealt by a hash of their id; a row per block."""
+    """Writes the vectors in blocks of about ``size`` rows, dealt by a hash of their number; a row per block."""
     rows = vectors.count()
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-rows // size)))))
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("number"), F.lit(max(1, -(-rows // size)))))
     return stored(dealt.groupBy("block").applyInArrow(_write_block(folder, label, with_slices), "block long, file string"), label)
 
 
@@ -201,17 +201,20 @@ def _searching(folder: str, k: int):
 
 
 def whole_numbers(vectors: DataFrame, *, scale: int = 64, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, v``: floor(scale * x) of every component x as double; rows that are null or hold null or non-finite
-    components, or have no id, are left out. Of rows with one id the least vector counts."""
+    """``number, vec_id, v``: floor(scale * x) of every component x as double; rows that are null or hold null or non-finite
+    components, or have no id, are left out. ``number`` tells rows with one id apart; it is to be stored before it is used."""
     x = F.transform(vector, lambda e: e.cast("double"))
     whole = F.transform("x", lambda e: F.floor(e * scale).cast("long"))
     finite = F.forall("x", lambda e: F.coalesce(~F.isnan(e) & (F.abs(e) < float("inf")), F.lit(False)))
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), x.alias("x")).where(F.col("x").isNotNull() & F.col("vec_id").isNotNull()).where(finite)
-    return rows.groupBy("vec_id").agg(F.min(whole).alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("number"), "vec_id", whole.alias("v"))
 
 
 def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every`` the k best others.
+    """``query_id, rank, vec_id, score``: for each id divisible by ``every`` the k best rows of other ids.
+
+    Rows with one id are candidates of their own, as in the SQL form; the candidates of all query rows of one id are ranked
+    together.
 
     Score: inner product of the whole numbers floor(scale * x); vectors of unequal length are padded with zeros; scores
     must fit 64 bits. An empty table, or one without queries, gives no rows. Other columns are ignored.

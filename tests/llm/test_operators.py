@@ -456,6 +456,18 @@ def test_top_k(spark):
     assert [tuple(r) for r in bit_sliced.top_k(few).collect()] == [(20, 1, 21, 32 * 16)]
 
 
+def test_top_k_of_repeated_ids(spark):
+    draw = np.random.default_rng(8)
+    rows = [(k % 90, draw.standard_normal(6).astype(np.float32).tolist()) for k in range(200)] + [(20, [3.0] * 6)] * 9
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    whole = [(k, np.floor(64 * np.array(v, np.float64)).astype(np.int64)) for k, v in rows]
+    want = []
+    for q in {k for k, _ in whole if k % 20 == 0}:
+        order = sorted((-int(x @ v), k) for i, x in whole if i == q for k, v in whole if k != q)[:5]
+        want += [(q, n + 1, k, -s) for n, (s, k) in enumerate(order)]
+    assert sorted(map(tuple, bit_sliced.top_k(df, k=5).collect())) == sorted(want)
+
+
 def test_language_model(docs, nothing):
     import math
     from collections import Counter
