@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import bit_sliced, bpe_count, decontaminate, kneser_ney, line_dedup, ngram_join, packing, quality, token_store, url_filter
+from quadrille.llm import bit_sliced, bpe_count, decontaminate, kneser_ney, line_dedup, line_rules, ngram_join, packing, quality, token_store, url_filter
 from quadrille.llm.tables import read_table
 from quadrille.session import ship
 
@@ -80,6 +80,41 @@ def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+@query
+def op13_line_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return line_rules.quality_rules(read_table(spark, sf, "documents"))
+
+
+TWINS["op13_line_rules"] = f"""
+with d as (select row_number() over () as row, doc_id, source as host, coalesce(text, '') as text from documents),
+w as (select row, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols from d),
+l as (
+    select row, host, raw, lower(trim(regexp_replace(raw, '[\\x20\\x09-\\x0D]+', ' ', 'g'))) as line
+    from (select row, host, unnest(string_split(text, chr(10))) as raw from d) where regexp_matches(raw, '[^\\x20\\x09-\\x0D]')
+), frequent as (
+    select host, line from (select host, line, count(distinct row) as n from l group by host, line) s
+    join (select host as h, count(*) as documents from d group by host) t on s.host is not distinct from t.h
+    where n > {line_rules.LEAST_DOCUMENTS} and 100 * n > {line_rules.PERCENT_DOCUMENTS} * documents
+), removed as (
+    select row, sum(len(string_split(l.line, ' '))) as n_removed_words
+    from l join frequent f on l.line = f.line and l.host is not distinct from f.host group by row
+), again as (select row, count(*) - count(distinct raw) as n_dup_lines from l group by row
+), windows as (
+    select row, unnest(range(1, len(words) - 1)) as p, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) as t from w
+), twice as (select row, p from (select row, p, count(*) over (partition by row, t) as n from windows) where n > 1
+), covered as (select row, count(distinct q) as n_repeat_words from (select row, unnest([p, p + 1, p + 2]) as q from twice) group by row
+), counts as (
+    select doc_id, cast(len(words) as bigint) as n_words, cast(length(array_to_string(words, '')) as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+        cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words,
+        cast(coalesce(n_removed_words, 0) as bigint) as n_removed_words
+    from d join w using (row) left join again using (row) left join covered using (row) left join removed using (row)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < {line_rules.LEAST_WORDS} or 100 * n_repeat_words > {line_rules.MOST_REPEATED_PERCENT} * n_words as base_failed,
+    not (n_words < {line_rules.LEAST_WORDS} or 100 * n_repeat_words > {line_rules.MOST_REPEATED_PERCENT} * n_words)
+        and 100 * n_removed_words <= {line_rules.PERCENT_REMOVED} * n_words as kept, n_removed_words
+from counts
+"""
 TWINS["op7_bit_sliced_top_k"] = """
 with v as (
     select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
