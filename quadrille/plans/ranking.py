@@ -79,3 +79,26 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: str, n
         .join(F.broadcast(offsets), "_part")
         .select(*df.columns, (F.col("_local") + F.col("_offset")).alias(name))
     )
+
+
+def rank_within(df: DataFrame, group: str, order_by: Sequence[str | Column], name: str = "rank") -> DataFrame:
+    """Numbers the rows of every ``group`` from 0, in the order given, and adds ``<name>_of``, the rows of the group.
+
+    One range sort over all partitions, so a group may be of any size. What a partition holds of a group is one row; those
+    rows are numbered per group (no more than there are partitions) and come back by partition and group, a key that
+    no more than a partition's rows share. ``group`` must not be null; order keys should end in something unique.
+    """
+    tagged = partition_position(pin(df.orderBy(group, *order_by)))
+    own = Window.partitionBy("_group")
+    before = own.orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (
+        tagged.groupBy(F.col("_part").alias("_in"), F.col(group).alias("_group"))
+        .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .select(
+            "_in", "_group", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+            F.sum("_rows").over(own).alias("_all"),
+        )
+    )
+    pieces = F.broadcast(pieces) if fits_broadcast(pieces) else pieces
+    met = tagged.join(pieces, (F.col("_part") == F.col("_in")) & (F.col(group) == F.col("_group")))
+    return met.select(*df.columns, (F.col("_pos") + F.col("_shift")).alias(name), F.col("_all").alias(f"{name}_of"))

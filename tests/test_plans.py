@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrille.plans.asof import asof_backward
 from quadrille.plans.durable import durable_root, fresh_folder
-from quadrille.plans.ranking import dense_index, keyed_index, running_total
+from quadrille.plans.ranking import dense_index, keyed_index, rank_within, running_total
 from quadrille.plans.salting import salted_join
 from quadrille.plans.sizing import broadcast_if_small, fits_broadcast, measured_bytes
 from tests.conftest import plan_of
@@ -45,6 +45,17 @@ def test_merge_carries_over_partitions(spark, many_partitions):
     assert all(g.v == (None if g.x < 5 else 5 if g.x < 2100 else 2100) for g in got) and len(got) == left.count()
 
 
+def test_rank_within_groups_larger_than_a_partition(spark, many_partitions):
+    rows = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', concat('g', id % 40)) as g", "(id * 7919) % 6000 as k", "id")
+    got = rank_within(rows.repartition(5), "g", ["k"], "r").collect()
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault(r.g, []).append(r.k)
+    want = {(g, k): (i, len(ks)) for g, ks in groups.items() for i, k in enumerate(sorted(ks))}
+    assert {(r.g, r.k): (r.r, r.r_of) for r in got} == want and len(got) == 6000
+    assert rank_within(rows.limit(0), "g", ["k"]).collect() == []
+
+
 def test_dense_index_of_nothing(spark):
     assert dense_index(spark.range(0), ["id"], "i").collect() == []
 
