@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import bit_sliced, bpe_count, decontaminate, kneser_ney, line_dedup, line_rules, ngram_join, packing, quality, token_store, url_filter
+from quadrille.llm import bit_sliced, bpe_count, decontaminate, kneser_ney, line_dedup, line_rules, merkle, ngram_join, packing, quality, token_store, url_filter
 from quadrille.llm.tables import read_table
 from quadrille.session import ship
 
@@ -80,11 +80,83 @@ def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.audited(read_table(spark, sf, "documents"))
+
+
 @query
 def op13_line_rules(spark: SparkSession, sf: str) -> DataFrame:
     return line_rules.quality_rules(read_table(spark, sf, "documents"))
 
 
+#: Levels that a twin unrolls: 16 ** 8 leaves of a source.
+_LEVELS = 8
+
+
+def _merkle_levels(first: str, last: str) -> str:
+    """From the nodes ``<first>0`` (tree, rank, n, digest), the levels above them and the siblings of each."""
+    parts = []
+    for k in range(_LEVELS):
+        run = "over (partition by tree, rank // 16 order by rank rows between"
+        parts.append(
+            f"""{last}{k} as (
+    select tree, rank, n, coalesce(string_agg(digest, '') {run} unbounded preceding and 1 preceding), '') as before,
+        coalesce(string_agg(digest, '') {run} 1 following and unbounded following), '') as after from {first}{k}
+), {first}{k + 1} as (
+    select tree, rank // 16 as rank, any_value(n) // 16 + if(any_value(n) % 16 = 0, 0, 1) as n, sha256(string_agg(digest, '' order by rank)) as digest
+    from {first}{k} where n > 1 group by tree, rank // 16
+    union all select tree, rank, n, digest from {first}{k} where n = 1
+)"""
+        )
+    return ",\n".join(parts)
+
+
+def _merkle_folds(start: str, siblings: str, name: str) -> str:
+    """Folds ``<start>`` (tree, place, digest, proof and more) level by level with the siblings of each."""
+    parts, before = [], start
+    for k in range(_LEVELS):
+        parts.append(
+            f"""{name}{k} as (
+    select f.* replace (if(s.n > 1, sha256(s.before || f.digest || s.after), f.digest) as digest, f.proof || s.before || s.after as proof)
+    from {before} f join {siblings}{k} s on f.tree = s.tree and f.place // {16**k} = s.rank
+)"""
+        )
+        before = f"{name}{k}"
+    return ",\n".join(parts)
+
+
+def _merkle_leaf(text: str) -> str:
+    fields = [f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+_CRC32 = """xor(list_reduce(list_prepend(cast(4294967295 as ubigint), list_transform(range(1, length(id) + 1), lambda i: cast(ascii(id[i]) as ubigint))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda z: cast(z as ubigint))),
+        lambda x, z: if(x % 2 = 1, xor(x >> 1, cast(3988292384 as ubigint)), x >> 1))), cast(4294967295 as ubigint))"""
+
+TWINS["op11_merkle_manifest"] = f"""
+with ids as (select *, cast(doc_id as varchar) as id, coalesce('=' || source, '-') as tree from documents),
+leaves as (
+    select doc_id, tree, {_merkle_leaf("text")} as leaf,
+        case when {_CRC32} % {merkle.TAMPERED} = 0 then {_merkle_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end as changed
+    from ids
+), placed as (
+    select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as rank, count(*) over (partition by tree) as n from leaves
+), a0 as (select tree, rank, n, leaf as digest from placed),
+{_merkle_levels("a", "b")},
+subroots as (select tree as own, row_number() over (order by tree) - 1 as place, digest as subroot from a{_LEVELS}),
+c0 as (select 'all' as tree, place as rank, count(*) over () as n, subroot as digest from subroots),
+{_merkle_levels("c", "d")},
+e as (
+    select p.doc_id, p.tree, p.leaf, p.rank as place, coalesce(p.changed, p.leaf) as digest, '' as proof, s.subroot, s.place as top
+    from placed p join subroots s on p.tree = s.own
+), {_merkle_folds("e", "b", "f")},
+g as (select doc_id, leaf, subroot, 'all' as tree, top as place, digest, proof from f{_LEVELS - 1}),
+{_merkle_folds("g", "d", "h")}
+select doc_id, leaf, subroot, c.digest as root, sha256(proof) as proof_sha256, h.digest as folded_root, h.digest = c.digest as verified
+from h{_LEVELS - 1} h join c{_LEVELS} c on h.tree = c.tree
+"""
 TWINS["op13_line_rules"] = f"""
 with d as (select row_number() over () as row, doc_id, source as host, coalesce(text, '') as text from documents),
 w as (select row, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols from d),

@@ -45,5 +45,5 @@ def test_rows_with_repeated_and_null_ids(spark):
 
 
 def test_every_query_is_listed():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert decontaminate.SHINGLE <= 13 and ngram_join.ORDER_FRAGMENTS > 1
