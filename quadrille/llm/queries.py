@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import bit_sliced, bpe_count, decontaminate, kneser_ney, line_dedup, line_rules, merkle, ngram_join, packing, quality, token_store, url_filter
+from quadrille.llm import bit_sliced, bpe_count, decontaminate, kneser_ney, line_dedup, line_rules, merkle, ngram_join, packing, quality, token_store, url_filter, vector_codes
 from quadrille.llm.tables import read_table
 from quadrille.session import ship
 
@@ -85,6 +85,11 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.audited(read_table(spark, sf, "documents"))
 
 
+@query
+def op12_cover_tree_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.compressed(read_table(spark, sf, "embeddings"))
+
+
 @query
 def op13_line_rules(spark: SparkSession, sf: str) -> DataFrame:
     return line_rules.quality_rules(read_table(spark, sf, "documents"))
@@ -157,6 +162,44 @@ g as (select doc_id, leaf, subroot, 'all' as tree, top as place, digest, proof f
 select doc_id, leaf, subroot, c.digest as root, sha256(proof) as proof_sha256, h.digest as folded_root, h.digest = c.digest as verified
 from h{_LEVELS - 1} h join c{_LEVELS} c on h.tree = c.tree
 """
+
+
+def _lloyd(k: int) -> str:
+    """The parts' nearest entries of codebook ``b<k>``, as ``n<k>``."""
+    return f"""n{k} as (
+    select * from (
+        select p.row, p.part, p.x, b.entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as far,
+            row_number() over (partition by p.row, p.part order by far, b.entry) as place
+        from p join b{k} b on p.part = b.part
+    ) where place = 1
+)"""
+
+
+def _means(k: int) -> str:
+    return f"""b{k + 1} as (
+    select b.part, b.entry, coalesce(m.x, b.x) as x from b{k} b left join (
+        select part, entry, list(cast(floor_div as bigint) order by i) as x from (
+            select part, entry, i, (sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) as floor_div
+            from (select part, entry, unnest(x) as v, generate_subscripts(x, 1) as i from n{k}) group by part, entry, i
+        ) group by part, entry
+    ) m on b.part = m.part and b.entry = m.entry
+)"""
+
+
+TWINS["op12_cover_tree_codes"] = f"""
+with v as (
+    select row_number() over (order by vec_id nulls last) - 1 as row, vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    from embeddings where embedding is not null and len(embedding) > 0 and len(embedding) % 16 = 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), p as (
+    select row, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] as x from v, (select unnest(range(16)) as part)
+), b0 as (select part, row as entry, x from p where row < 64),
+{_lloyd(0)}, {_means(0)}, {_lloyd(1)}, {_means(1)}, {_lloyd(2)},
+codes as (select row, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(far) as bigint) as error from n2 group by row),
+digest as (select sha256(string_agg(array_to_string(x, ','), ',' order by part, entry)) as codebooks_sha256 from b2)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from codes join v using (row), digest
+"""
 TWINS["op13_line_rules"] = f"""
 with d as (select row_number() over () as row, doc_id, source as host, coalesce(text, '') as text from documents),
 w as (select row, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols from d),
