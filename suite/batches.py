@@ -9,6 +9,7 @@ from quadrille.operators.label import excluded_points, with_cell
 from quadrille.operators.quadtree import leaf_lookup
 from quadrille.plans.durable import fresh_folder
 from quadrille.sources import shards, tables
+from quadrille.sources.zones import zone_map
 from suite import data
 from suite.joins import _catalog
 from suite.registry import query
@@ -107,7 +108,7 @@ def j7(spark, sf):
     numbered = shards.assign_ids(data.shard_rows(spark, sf), catalog).withColumnRenamed("pos", "place")
     tables.write_shards(numbered.withColumnRenamed("place", "pos"), folder)
     table = tables.read_shard_table(spark, folder).drop("pos")
-    return fetch.fetch_through_catalog(table, catalog, data.requests(spark, sf)).select("pos", "id", "shard")
+    return fetch.fetch_through_catalog(table, catalog, data.requests(spark, sf), zones=zone_map(spark, folder)).select("pos", "id", "shard")
 
 
 @query(

@@ -17,7 +17,9 @@ from quadrille.operators.label import (
 )
 from quadrille.operators.points import without_ids
 from quadrille.operators.quadtree import leaf_lookup
+from quadrille.plans.durable import fresh_folder
 from quadrille.sources import shards
+from quadrille.sources.zones import zone_map
 from suite import data
 from suite.registry import query
 
@@ -88,6 +90,18 @@ def d5(spark, sf):
     return data.wide(fetch.fetch_batch(data.points(spark, sf), data.requests(spark, sf)))
 
 
+@query(
+    "d5_batch_fetch_zones",
+    f"""{_R} select p.id, {_OUT}, r.pos from points p join (select idx, min(pos) as pos from requests group by idx) r on r.idx = p.id""",
+)
+def d5_zones(spark, sf):
+    """The same fetch from a table in files, of which those without a wanted id are not opened."""
+    folder = fresh_folder(spark, "points")
+    data.points(spark, sf).repartitionByRange(16, "id").write.parquet(folder)
+    zones = zone_map(spark, folder, span=1000)
+    return data.wide(fetch.fetch_batch(spark.read.parquet(folder), data.requests(spark, sf), zones=zones))
+
+
 @query("d6_anti_join_excluded", f"{_L} select id from points where id not in (select id from labelled where cell is null)")
 def d6(spark, sf):
     rows, _, _ = data.labelled(spark, sf)
