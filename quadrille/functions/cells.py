@@ -134,6 +134,21 @@ def curve_position(path: str) -> Column:
     return F.expr(f"cast(conv({path}, 4, 10) as bigint)")
 
 
+#: The bits of a byte with a zero in front of each.
+_APART = [sum((byte >> k & 1) << 2 * k for k in range(8)) for byte in range(256)]
+
+
+def curve_place(row: str, column: str) -> Column:
+    """:func:`curve_position` of a slot pair: the bits of row and column in turn, without a path in between."""
+    table = F.lit(_APART).cast("array<long>")
+
+    def apart(slot: str) -> Column:
+        own = [F.shiftleft(F.get(table, F.shiftright(F.col(slot), 8 * k).bitwiseAND(F.lit(255))), 16 * k) for k in range(4)]
+        return own[0].bitwiseOR(own[1]).bitwiseOR(own[2]).bitwiseOR(own[3])
+
+    return F.shiftleft(apart(row), 1).bitwiseOR(apart(column))
+
+
 def cell_depth(cell: str) -> Column:
     return F.length(F.expr(cell))
 

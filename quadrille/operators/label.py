@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrille.functions.cells import (
-    cell_path,
-    curve_position,
+    curve_place,
     in_world,
     path_key,
     single_sql,
@@ -67,8 +66,8 @@ def with_cell(
     """Adds ``cell``, ``class_idx`` and ``cut`` of the enclosing leaf; NULL where no leaf encloses the point.
 
     Tiles measured to fit are looked up in one broadcast hash table: no shuffle, no row is written twice, and
-    it works on a stream. Otherwise leaves become intervals of the space-filling curve and meet the points in
-    a sorted as-of merge. ``shuffle`` makes the same join as ``broadcast`` without sending the tiles to every task;
+    it works on a stream. Otherwise leaves become intervals of the space-filling curve, and both are dealt to
+    ranges of it. ``shuffle`` makes the same join as ``broadcast`` without sending the tiles to every task;
     ``broadcast`` refuses tiles beyond ``max_bytes``.
     """
     if strategy not in ("auto", "broadcast", "shuffle", "merge"):
@@ -148,9 +147,7 @@ def _merge_cell(points: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
         F.expr(f"cast(conv(cell, 4, 10) as bigint) * {span}").alias("_from"),
         F.struct("cell", "class_idx", "cut", F.expr(span).alias("_span")).alias("_leaf"),
     )
-    placed = points.withColumn("_path", cell_path("latitude", "longitude", depth)).withColumn(
-        "_place", curve_position("_path")
-    )
+    placed = with_slots(points, depth).select(*points.columns, curve_place("_row", "_column").alias("_place"))
     found = asof_backward(
         placed, intervals.withColumn("_first", F.col("_from")), left_key="_place", right_key="_from",
         take=["_leaf", "_first"], strategy="merge",

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrille.plans.durable import pin
-from quadrille.plans.ranking import partition_position
 from quadrille.plans.sizing import BROADCAST_BYTES, fits_broadcast
 
 #: Most intervals that may share one bucket before the sorted merge is the better plan.
 BUCKET_FANOUT = 64
+#: Right keys of a range of the merge, and the most ranges, whose cuts are a literal; beyond, ranges hold more keys.
+KEYS_PER_RANGE, MOST_RANGES = 256, 16_384
 
 
 def asof_backward(
@@ -29,13 +29,17 @@ def asof_backward(
 
     ``right`` must be unique on an integral ``right_key``. A right side measured to be small is cut into
     equal-width buckets and broadcast as a hash join; otherwise, or when the intervals are too uneven for
-    buckets, distinct left keys and right keys are merged by a distributed sort.
+    buckets, both sides are dealt to ranges of the key and merged there.
     """
     take = list(take)
     if strategy not in ("auto", "bucket", "merge"):
         raise ValueError(f"unknown strategy {strategy!r}")
     right = right.select(F.col(right_key).cast("long").alias("_start"), *take)
-    if strategy == "merge" or (strategy == "auto" and not fits_broadcast(right, max_bytes)):
+    # Buckets are up to three times the right rows, each with two more columns.
+    small = strategy != "merge" and fits_broadcast(right, max_bytes // 4)
+    if strategy == "bucket" and not small:
+        raise ValueError(f"the right side is too large for buckets of {max_bytes} bytes")
+    if not small:
         return _merge(left, right, left_key, take)
     low, high, rows = right.agg(F.min("_start"), F.max("_start"), F.count(F.lit(1))).first()
     if not rows:
@@ -69,35 +73,44 @@ def asof_backward(
     return probe.join(F.broadcast(buckets), hit, "left").select(*left.columns, *take)
 
 
-def _merge(left: DataFrame, right: DataFrame, left_key: str, take: list[str]) -> DataFrame:
-    """Sorted merge. Only distinct left keys are sorted, so a hot key is one row before the range shuffle."""
-    hit = F.struct("_start", *take)
-    marks = right.select(F.col("_start").alias("_key"), F.lit(0).alias("_side"), hit.alias("_hit"))
-    probes = (
-        left.select(F.col(left_key).cast("long").alias("_key"))
-        .where("_key is not null")
-        .distinct()
-        .select("_key", F.lit(1).alias("_side"), F.lit(None).cast(marks.schema["_hit"].dataType).alias("_hit"))
-    )
-    sorted_keys = partition_position(pin(marks.unionByName(probes).orderBy("_key", "_side")))
-    # Last mark of each partition, then of all partitions before it: one row per shuffle partition.
-    carried = (
-        sorted_keys.where("_side = 0")
-        .groupBy("_part")
-        .agg(F.max_by("_hit", "_key").alias("_tail"))
-    )
-    parts = sorted_keys.select("_part").distinct().join(carried, "_part", "left")
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("_part", F.last("_tail", ignorenulls=True).over(earlier).alias("_carry"))
-    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        sorted_keys.withColumn("_near", F.last("_hit", ignorenulls=True).over(inside))
-        .where("_side = 1")
-        .join(F.broadcast(parts), "_part")
-        .select("_key", F.coalesce("_near", "_carry").alias("_near"))
-    )
-    return (
-        left.withColumn("_key", F.col(left_key).cast("long"))
-        .join(found, "_key", "left")
-        .select(*left.columns, *(F.col(f"_near.{c}").alias(c) for c in take))
-    )
+def _merge(left: DataFrame, right: DataFrame, left_key: str, take: list[str], *, span: int = KEYS_PER_RANGE, most: int = MOST_RANGES) -> DataFrame:
+    """Both sides dealt to ranges of the key, one shuffle each, and searched there. No side is sorted or kept.
+
+    Ranges are cut at quantiles of the right keys, at keys that are there: so the match of a left row is in its own range. The right
+    rows of a range are one row of sorted arrays, in which a left row finds its place by a binary search in column expressions. It is
+    a plain join on the number of the range, so adaptive execution splits ranges with many left rows, also of a single key.
+    """
+    least = 16 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, cuts = _cuts(right, min(least, most))
+    if rows // span > least:
+        rows, cuts = _cuts(right, min(most, rows // span))
+    table = F.lit(cuts) if cuts else F.array().cast("array<long>")
+    marks = _searched(right.withColumn("_key", F.col("_start")), "_range", table, len(cuts))
+    lists = marks.groupBy("_range").agg(F.array_sort(F.collect_list(F.struct("_start", *take))).alias("_list"))
+    # Quantiles are exact up to a twentieth of a range on each side, so no range holds twice the mean.
+    longest = 2 * rows // (len(cuts) + 1) + 16 if len(cuts) + 1 >= min(least, most) else rows
+    problem = F.raise_error(F.lit("a range of the as-of merge is longer than its quantiles allow")).cast("array<long>")
+    starts = F.when(F.size("_list") <= longest, F.col("_list._start")).otherwise(problem)
+    lists = lists.select(F.col("_range").alias("_own"), starts.alias("_starts"), "_list")
+    keyed = left.withColumn("_key", F.col(left_key).cast("long"))
+    placed = _searched(keyed, "_range", table, len(cuts))
+    met = placed.join(lists.hint("shuffle_hash"), F.col("_range") == F.col("_own"), "left")
+    near = _searched(met, "_at", F.col("_starts"), longest).withColumn("_near", F.get("_list", F.col("_at") - 1))
+    return near.select(*left.columns, *(F.col(f"_near.{c}").alias(c) for c in take))
+
+
+def _cuts(right: DataFrame, parts: int) -> tuple[int, list[int]]:
+    """Rows, and fewer than ``parts`` keys that cut them into like ranges."""
+    quantiles = F.percentile_approx("_start", [k / parts for k in range(1, parts)] or [0.0], 20 * parts)
+    rows, found = right.agg(F.count(F.lit(1)), quantiles).first()
+    return rows, sorted(set(found or []))
+
+
+def _searched(df: DataFrame, name: str, table: Column, size: int) -> DataFrame:
+    """Adds the number of elements of the sorted array ``table``, at most ``size``, that are not above ``_key``; 0 without a key."""
+    out, step = df.withColumn(name, F.lit(0)), 1 << size.bit_length()
+    while step > 1:
+        step //= 2
+        passed = F.get(table, F.col(name) + F.lit(step - 1)) <= F.col("_key")
+        out = out.withColumn(name, F.when(passed, F.col(name) + F.lit(step)).otherwise(F.col(name)))
+    return out

@@ -9,6 +9,8 @@ from quadrille.functions.cells import (
     cell_outline,
     cell_parent,
     cell_path,
+    curve_place,
+    curve_position,
     path_key,
     slot_key,
     with_slots,
@@ -149,3 +151,10 @@ def test_no_python_in_cell_plans(spark):
     df = spark.range(10).selectExpr("cast(id as double) latitude", "cast(id as double) longitude")
     plan = plan_of(df.select(cell_path("latitude", "longitude", 19), F.lit(1)))
     assert "Python" not in plan and "*(1) Project" in plan
+
+
+@pytest.mark.parametrize("depth", [1, 7, 19, 30])
+def test_curve_place_is_the_path_in_base_four(spark, depth):
+    points = spark.range(400).selectExpr("cast(id * 0.45D - 90 as float) as latitude", "cast((id * 7919) % 360 - 180D as float) as longitude")
+    placed = with_slots(points.withColumn("path", cell_path("latitude", "longitude", depth)), depth)
+    assert all(a == b for a, b in placed.select(curve_place("_row", "_column"), curve_position("path")).collect())

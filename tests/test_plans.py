@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import bisect
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from quadrille.plans import asof
 from quadrille.plans.asof import asof_backward
 from quadrille.plans.durable import durable_root, fresh_folder
 from quadrille.plans.ranking import dense_index, keyed_index, rank_within, running_total
@@ -45,6 +47,31 @@ def test_merge_carries_over_partitions(spark, many_partitions):
     assert all(g.v == (None if g.x < 5 else 5 if g.x < 2100 else 2100) for g in got) and len(got) == left.count()
 
 
+def test_merge_is_one_shuffle_a_side(spark, tmp_path):
+    left = spark.range(30_000).selectExpr("if(id % 3 = 0, 777, if(id % 50 = 1, null, id * 3 - 500)) as x", "id as _n", "'w' as wide")
+    right = spark.range(0, 5000).selectExpr("id * id % 70001 as k").distinct().withColumn("v", F.col("k"))
+    for name, df in (("l", left), ("r", right)):
+        df.write.parquet(str(tmp_path / name))
+    left, right = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r"))
+    got = asof_backward(left, right, left_key="x", right_key="k", take=["v"], strategy="merge")
+    plan = plan_of(got)
+    assert plan.count("Exchange hashpartitioning") == 2 and "ShuffledHashJoin" in plan and "Window" not in plan and "rangepartitioning" not in plan
+    keys = sorted(r.k for r in right.collect())
+    want = {r["_n"]: None if r.x is None or r.x < keys[0] else keys[bisect.bisect_right(keys, r.x) - 1] for r in left.collect()}
+    rows = got.collect()
+    assert {r["_n"]: r.v for r in rows} == want and len(rows) == 30_000 and got.columns == ["x", "_n", "wide", "v"]
+
+
+@pytest.mark.parametrize("rows", [0, 1, 2, 40, 3000])
+def test_merge_with_few_and_many_ranges(spark, rows, monkeypatch):
+    monkeypatch.setattr(asof._merge, "__kwdefaults__", {"span": 7, "most": 150})
+    left = spark.range(-5, 9100, 3).withColumnRenamed("id", "x")
+    right = spark.range(rows).selectExpr("id * 3 + 1 as k", "string(id) as v")
+    got = asof_backward(left, right, left_key="x", right_key="k", take=["v"], strategy="merge").collect()
+    last = 3 * rows - 2
+    assert all(g.v == (None if g.x < 1 or not rows else str((min(g.x, last) - 1) // 3)) for g in got) and len(got) == left.count()
+
+
 def test_rank_within_groups_larger_than_a_partition(spark, many_partitions):
     rows = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', concat('g', id % 40)) as g", "(id * 7919) % 6000 as k", "id")
     got = rank_within(rows.repartition(5), "g", ["k"], "r").collect()
