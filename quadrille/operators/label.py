@@ -21,7 +21,7 @@ from quadrille.functions.geo import GREAT_CIRCLE_RADIUS_KM, great_circle_km, nor
 from quadrille.operators.points import in_box
 from quadrille.plans.asof import asof_backward
 from quadrille.plans.durable import pin
-from quadrille.plans.salting import salted_join
+from quadrille.plans.salting import neighbours, salted_join
 from quadrille.plans.sizing import BROADCAST_BYTES, ROW_OVERHEAD, fits_broadcast
 
 #: Standard deviation of the smoothing weight, km.
@@ -269,7 +269,19 @@ def near_cells(
 
     The small side is spread: each cell is written to every square of a 2.5 degree grid that its disc or its
     own box can touch (with wrap at 180 degrees and whole circles near the poles), while a point has exactly
-    one square. The join is an equi-join; the exact distance decides afterwards.
+    one square. The join is an equi-join; the exact distance decides afterwards. Points are not shuffled while the squares fit a
+    broadcast.
+    """
+    return _near(labelled, classes, radius_km, max_bytes, None)[0].select("id", "class_idx", "near_class", "km")
+
+
+def _near(
+    labelled: DataFrame, classes: DataFrame, radius_km: float, max_bytes: int, tasks: int | None
+) -> tuple[DataFrame, list[str]]:
+    """The pairs of a point and a cell, and the columns by which all pairs of a point are neighbours in one task.
+
+    With ``tasks`` the points are dealt and sorted by those columns before they fan out, and the hash joins keep that: what is summed per
+    point later needs neither a shuffle nor a sort of the pairs.
     """
     reach = math.degrees(radius_km / GREAT_CIRCLE_RADIUS_KM)
     sine = math.sin(radius_km / GREAT_CIRCLE_RADIUS_KM)
@@ -314,16 +326,14 @@ def near_cells(
         F.expr(f"cast({row} * {_LON_SQUARES} + {column} as int)").alias("_square"),
     )
     if fits_broadcast(spread, max_bytes):
-        # Clustered by id before the fan-out: the join keeps that, and sums per id need no second shuffle. The
-        # number is given, because the rows are narrow here and would be packed into too few tasks otherwise.
-        tasks = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        met = placed.repartition(tasks, "id").join(F.broadcast(spread), "_square")
+        keys = ["id"]
+        placed = neighbours(placed.repartition(tasks, "id"), keys) if tasks else placed
+        met = placed.join(F.broadcast(spread), "_square")
     else:
-        met = salted_join(placed, spread, "_square", "id")
+        keys = ["_square", "_salt", "id"]
+        met = salted_join(placed, spread, "_square", "id", neighbour_tasks=tasks)
     measured = met.withColumn("km", great_circle_km("_lat", "_lon", "center_lat", "center_lon"))
-    return measured.where(
-        (F.col("km") <= radius_km) | (F.col("class_idx") == F.col("near_class"))
-    ).select("id", "class_idx", "near_class", "km")
+    return measured.where((F.col("km") <= radius_km) | (F.col("class_idx") == F.col("near_class"))), keys
 
 
 def smoothed_labels(
@@ -332,20 +342,18 @@ def smoothed_labels(
     *,
     std_km: float = SMOOTHING_STD_KM,
     max_bytes: int = BROADCAST_BYTES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Sparse smoothed label matrix ``(id, class_idx, weight)``; the weights of a row add up to 1.
 
-    Weight before division: 1 for the own cell plus the normal density of the distance to each cell center.
+    Weight before division: 1 for the own cell plus the normal density of the distance to each cell center. Ids are unique. The points are
+    dealt to ``tasks`` tasks, the shuffle partitions by default: rows are narrow before they fan out, so their bytes say
+    little about the work.
     """
     radius = SMOOTHING_RADIUS_KM * std_km / SMOOTHING_STD_KM + (5.0 if std_km != SMOOTHING_STD_KM else 0.0)
-    near = near_cells(labelled, classes, radius_km=radius, max_bytes=max_bytes)
+    tasks = tasks or int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near, keys = _near(labelled, classes, radius, max_bytes, tasks)
     own = F.when(F.col("class_idx") == F.col("near_class"), 1.0).otherwise(0.0).cast("float")
-    raw = near.select(
-        "id",
-        "near_class",
-        (own + normal_pdf("km", 0.0, std_km).cast("float")).cast("float").alias("_raw"),
-    ).where("_raw > 0")
-    total = F.sum(F.col("_raw").cast("double")).over(Window.partitionBy("id"))
-    return raw.select(
-        "id", F.col("near_class").alias("class_idx"), (F.col("_raw") / total).cast("float").alias("weight")
-    )
+    raw = near.select(*keys, "near_class", (own + normal_pdf("km", 0.0, std_km).cast("float")).cast("float").alias("_raw")).where("_raw > 0")
+    total = F.sum(F.col("_raw").cast("double")).over(Window.partitionBy(*keys))
+    return raw.select("id", F.col("near_class").alias("class_idx"), (F.col("_raw") / total).cast("float").alias("weight"))

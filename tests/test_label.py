@@ -172,11 +172,15 @@ def test_smoothed_rows_add_up_to_one(crowded):
     assert sum(hot.label) == 1.0
 
 
-def test_smoothing_shuffles_points_not_pairs(crowded):
+@pytest.mark.parametrize("max_bytes", [1 << 26, 0])
+def test_smoothing_sorts_and_shuffles_points_not_pairs(crowded, max_bytes):
     _, classes, labelled = crowded
-    plan = plan_of(smoothed_labels(labelled, classes))
-    assert "Window" in plan
-    assert plan.count("Exchange hashpartitioning(id") <= 1
+    weights = smoothed_labels(labelled, classes, max_bytes=max_bytes)
+    pairs = plan_of(weights).split("HashJoin [_square")[0]
+    assert pairs.count("Window [sum") == 1 and "Sort" not in pairs and "Exchange" not in pairs
+    plain = {(r.id, r.class_idx): r.weight for r in smoothed_labels(labelled, classes).collect()}
+    got = {(r.id, r.class_idx): r.weight for r in weights.collect()}
+    assert got.keys() == plain.keys() and all(abs(got[k] - plain[k]) < 1e-6 for k in got)
 
 
 def test_boxes_of_mixed_sizes(spark):
