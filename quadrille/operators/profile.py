@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.plans.ranking import running_total
+from quadrille.plans.ranking import dense_index, running_total
+from quadrille.plans.sizing import DIRECT_ROWS
 
 
 def size_histogram(images: DataFrame) -> DataFrame:
@@ -28,7 +29,14 @@ def marginal_histograms(sizes: DataFrame) -> DataFrame:
 
 def most_common(counted: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
     """The ``k`` rows of greatest ``n``, ties by key."""
-    return counted.orderBy(F.desc("n"), *keys).limit(k)
+    return first_rows(counted, k, [F.desc("n"), *keys])
+
+
+def first_rows(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
+    """The first ``n`` rows in a total order; many of them are taken from a numbered range sort, not gathered in one task."""
+    if n <= DIRECT_ROWS:
+        return df.orderBy(*order_by).limit(n)
+    return dense_index(df, order_by, "_place").where(F.col("_place") < n).drop("_place")
 
 
 def coverage(sizes: DataFrame, k: int = 20) -> DataFrame:
@@ -114,8 +122,8 @@ def frame_shape(df: DataFrame) -> DataFrame:
 
 
 def head(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    return df.orderBy(*order_by).limit(n)
+    return first_rows(df, n, order_by)
 
 
 def tail(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    return df.orderBy(*(F.desc(c) for c in order_by)).limit(n).orderBy(*order_by)
+    return first_rows(df, n, [F.desc(c) for c in order_by]).orderBy(*order_by)

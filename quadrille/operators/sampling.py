@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.operators.label import one_hot, smoothed_labels, with_cell
@@ -12,7 +13,11 @@ from quadrille.operators.points import id_between, max_id, without_ids
 from quadrille.operators.quadtree import active_cells, leaf_lookup
 from quadrille.plans.durable import pin
 from quadrille.plans.ranking import dense_index
-from quadrille.plans.sizing import broadcast_if_small
+from quadrille.plans.sizing import DIRECT_ROWS, broadcast_if_small
+
+
+#: Hexadecimal digits of the keyed hash that are counted at once.
+_DIGITS = 4
 
 
 def row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "index", start: int = 0) -> DataFrame:
@@ -54,9 +59,88 @@ def shuffled(df: DataFrame, seed: int, key: str = "id", name: str = "position")
     return dense_index(df, [keyed_order(seed, key), F.col(key)], name)
 
 
-def random_rows(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
-    """Exactly ``n`` rows (or all, when there are fewer), the same ones for the same seed."""
-    return df.orderBy(keyed_order(seed, key), F.col(key)).limit(n)
+def random_rows(df: DataFrame, n: int, seed: int, key: str = "id", *, direct: int = DIRECT_ROWS) -> DataFrame:
+    """Exactly ``n`` rows (or all, when there are fewer), the same ones for the same seed: the first ones in the keyed order.
+
+    Beyond ``direct`` rows they are selected where they lie. Counts by the leading digits of the keyed hash tell in which bucket the
+    last row is, counts of further digits narrow it down, and a filter by the hash of the last row takes them all.
+    """
+    if n <= direct:
+        return df.orderBy(keyed_order(seed, key), F.col(key)).limit(n)
+    hashed = df.withColumn("_hash", keyed_order(seed, key))
+    prefix, left = "", n
+    while len(prefix) < 32:
+        own = hashed.where(F.col("_hash").startswith(prefix)) if prefix else hashed
+        digits = F.substring("_hash", len(prefix) + 1, _DIGITS)
+        found = sorted(own.groupBy(digits.alias("digits")).count().collect())  # no more than 16 ** _DIGITS
+        for digits, count in found:
+            if count >= left:
+                break
+            left -= count
+        else:
+            return df  # fewer rows than asked for
+        prefix += digits
+        if count <= direct:
+            break
+    order = F.struct("_hash", F.col(key).alias("_key"))
+    same = hashed.where(F.col("_hash").startswith(prefix))
+    # The last row: few rows of one prefix are sorted, or those of a single hash.
+    last = same.select(order.alias("_order")).orderBy("_order").limit(left).agg(F.max("_order"), F.count(F.lit(1))).first()[0]
+    at = F.struct(F.lit(last["_hash"]).alias("_hash"), F.lit(last["_key"]).cast(df.schema[key].dataType).alias("_key"))
+    before, ties = same.where(order < at).count(), hashed.where(order == at)
+    if before + ties.count() == left:
+        return hashed.where(order <= at).drop("_hash")
+    return hashed.where(order < at).unionByName(ties.limit(left - before)).drop("_hash")  # rows that repeat the last key
+
+
+# --- permutations ---------------------------------------------------------------------------------------
+
+
+def permuted(index: str, n: int, seed: int) -> Column:
+    """The place of ``index``, a column or SQL expression, in a permutation of ``0 .. n - 1`` that the seed fixes; every place is taken once.
+
+    A Feistel network permutes the numbers of just enough bits: in turn, one half of the bits is changed by a function of the other half
+    and of a key. Places beyond ``n`` are permuted again until they fall below it; half of all are below it at least.
+    """
+    if n > 1 << 62:
+        raise ValueError("a range has at most 2 ** 62 numbers")
+    bits = max(2, (n - 1).bit_length())
+    low = bits // 2
+    keys = ", ".join(f"struct({k % 2} as half, {a}L as a, {b}L as b)" for k, (a, b) in enumerate(round_keys(seed)))
+    left, right = (f"shiftright((_s.{other} + _k.b) * _k.a, 20) & {(1 << size) - 1}L" for other, size in (("r", bits - low), ("l", low)))
+
+    def network(value: str) -> str:
+        halves = f"struct(shiftright({value}, {low}) as l, {value} & {(1 << low) - 1}L as r)"
+        change = f"if(_k.half = 0, struct(_s.l ^ ({left}) as l, _s.r as r), struct(_s.l as l, _s.r ^ ({right}) as r))"
+        return f"aggregate(array({keys}), {halves}, (_s, _k) -> {change}, _s -> shiftleft(_s.l, {low}) | _s.r)"
+
+    def walk(value: str, steps: int) -> str:
+        return f"aggregate(sequence(1, {steps}), {value}, (_v, _step) -> if(_v < {n}L, _v, {network('_v')}))"
+
+    # Few rows need the second walk, and one that is longer still has a chance of one in 2 ** 128.
+    problem = "cast(raise_error('a place was not found in time') as bigint)"
+    first = f"transform(array(cast({index} as bigint)), _i -> {network('_i')})"
+    second = f"transform({first}, _f -> {walk('_f', 8)})"
+    third = f"transform({second}, _f -> if(_f < {n}L, _f, {walk('_f', 128)}))"
+    return F.expr(f"transform({third}, _f -> if(_f < {n}L, _f, {problem}))[0]")
+
+
+def range_permutation(spark: SparkSession, start: int, stop: int, step: int = 1, seed: int = 0) -> DataFrame:
+    """``(position, value)``: ``(stop - start) // step`` numbers from ``start`` on, each once, in an order that the seed fixes.
+
+    Every row is worked out by itself from its position: nothing is shuffled, sorted or kept.
+    """
+    n = max(0, (stop - start) // step)
+    return spark.range(n).select(F.col("id").alias("position"), (permuted("id", n, seed) * F.lit(step) + F.lit(start)).alias("value"))
+
+
+def round_keys(seed: int, rounds: int = 6) -> list[tuple[int, int]]:
+    """An odd factor of 30 bits and a summand of 31 for every round."""
+    out = []
+    for k in range(rounds):
+        digest = hashlib.sha256(f"{seed}:{k}".encode()).digest()
+        out.append((int.from_bytes(digest[:4], "big") >> 2 | 1 | 1 << 29, int.from_bytes(digest[4:8], "big") >> 1))
+    return out
 
 
 # --- splits ---------------------------------------------------------------------------------------------

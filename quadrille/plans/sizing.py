@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 #: Upper bound, in bytes, of a side that is sent whole to every executor.
 BROADCAST_BYTES = 128 * 1024 * 1024
+#: Rows that one task may gather and sort for a result in order.
+DIRECT_ROWS = 10_000
 #: Cost per row of a hashed relation on top of its values.
 ROW_OVERHEAD = 40
 

@@ -63,19 +63,25 @@ def j4_sequential(spark, sf):
     return sampling.row_index(data.points(spark, sf).select("id"), ["id"], "position")
 
 
+def _permutation_sql(seed: int) -> str:
+    """The permutation by one walk after another, with the halves of each round as columns of their own."""
+    parts = ["v >> low as l0", "v & ((1 << low) - 1) as r0"]
+    for k, (a, b) in enumerate(sampling.round_keys(seed)):
+        change = f"((({{}}{k} + {b}) * {a}) >> 20) & ((1 << {{}}) - 1)"
+        parts += [f"xor(l{k}, {change.format('r', '(bits - low)')}) as l{k + 1}", f"r{k} as r{k + 1}"] if k % 2 == 0 else [f"l{k} as l{k + 1}", f"xor(r{k}, {change.format('l', 'low')}) as r{k + 1}"]
+    last = len(sampling.round_keys(seed))
+    return f"select position, n, bits, low, (l{last} << low) | r{last} as v, step + 1 as step from (select *, {', '.join(parts)} from walk where step = 0 or v >= n)"
+
+
 @query(
     "j5_range_permutation",
-    f"{_P} select cast(count(*) as bigint) as n, cast(count(*) as bigint) as positions, 0::bigint as lowest, cast(count(*) - 1 as bigint) as highest, true as moved from points",
+    f"""with recursive {data.POINTS}, size as (select n, greatest(2, length(bin(n - 1))) as bits, bits // 2 as low from (select count(*) as n from points)),
+walk as (select range as position, n, bits, low, range as v, 0 as step from size, range((select n from size)) union all {_permutation_sql(3)})
+select position, v * 3 + 5 as value from walk where step > 0 and v < n""",
 )
 def j5(spark, sf):
-    order = sampling.shuffled(data.points(spark, sf).selectExpr("(id - 1) * 3 + 5 as value"), seed=3, key="value")
-    return order.agg(
-        F.count_distinct("value").alias("n"),
-        F.count_distinct("position").alias("positions"),
-        F.min("position").alias("lowest"),
-        F.max("position").alias("highest"),
-        F.bool_or(F.expr("position <> (value - 5) div 3")).alias("moved"),
-    )
+    n = data.points(spark, sf).count()
+    return sampling.range_permutation(spark, 5, 5 + 3 * n, 3, seed=3)
 
 
 @query(

@@ -105,6 +105,11 @@ def g4_slice(spark, sf):
     return sampling.row_slice(data.table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 500, 1000)
 
 
+@query("g5_random_rows_large", f"with {data.POINTS} select id from points order by md5('8:' || id), id limit 9000")
+def g5_large(spark, sf):
+    return sampling.random_rows(data.points(spark, sf).select("id"), 9000, seed=8, direct=100)
+
+
 @query("g5_random_rows", f"with {data.POINTS} select id, cast(latitude as double) as latitude, cast(longitude as double) as longitude from points order by md5('7:' || id), id limit 1000")
 def g5(spark, sf):
     return data.wide(sampling.random_rows(data.points(spark, sf), 1000, seed=7))

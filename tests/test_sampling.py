@@ -5,10 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quadrille.operators import fetch, sampling
+from quadrille.operators import fetch, profile, sampling
 from quadrille.operators.points import IMAGE_TABLE, conform, id_fraction_bound, table_definition, without_ids
 from suite import data
-from tests.conftest import SF
+from tests.conftest import SF, plan_of
 
 
 def ids(spark, values):
@@ -94,6 +94,49 @@ def test_random_rows_are_exact_and_repeatable(spark):
     assert sampling.random_rows(df, 1000, 9).count() == 300
 
 
+def test_many_random_rows_are_selected_where_they_lie(spark):
+    df = spark.range(0, 60_000, 1, 6)
+    few = sorted(r.id for r in df.orderBy(sampling.keyed_order(4, "id"), "id").limit(25_000).collect())
+    many = sampling.random_rows(df, 25_000, 4, direct=50)
+    assert "TakeOrdered" not in plan_of(many) and "Exchange" not in plan_of(many)
+    assert sorted(r.id for r in many.collect()) == few
+    assert sampling.random_rows(df, 70_000, 4, direct=50).count() == 60_000
+    again = df.selectExpr("id % 3 as id", "id as own")
+    got = sampling.random_rows(again, 30_000, 1, direct=50)
+    assert got.count() == 30_000 and got.groupBy("id").count().where("count = 20000").count() == 1
+    assert sampling.random_rows(df.limit(0), 30_000, 1, direct=50).count() == 0
+
+
+def test_head_and_tail_of_many_rows(spark, monkeypatch):
+    df = spark.range(1000).repartition(5)
+    for most in (10, 10_000):
+        monkeypatch.setattr(profile, "DIRECT_ROWS", most)
+        assert sorted(r.id for r in profile.head(df, 30, ["id"]).collect()) == list(range(30))
+        assert [r.id for r in profile.tail(df, 30, ["id"]).collect()] == list(range(970, 1000))
+    assert "TakeOrdered" in plan_of(profile.head(df, 30, ["id"]))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 64, 1000, 4097])
+def test_permuted_places_are_all_taken_once(spark, n):
+    rows = sampling.range_permutation(spark, -7, -7 + 5 * n + 2, 5, seed=n)
+    assert "Exchange" not in plan_of(rows) and "Sort" not in plan_of(rows)
+    got = sorted((r.position, r.value) for r in rows.collect())
+    assert [p for p, _ in got] == list(range(n)) and sorted(v for _, v in got) == [5 * k - 7 for k in range(n)]
+    if n > 60:
+        other = {r.position: r.value for r in sampling.range_permutation(spark, -7, -7 + 5 * n, 5, seed=n + 1).collect()}
+        moved = sum(v != 5 * p - 7 for p, v in got)
+        assert moved > 0.9 * n and sum(other[p] != v for p, v in got) > 0.9 * n
+        # Neighbours do not stay neighbours.
+        values = [v for _, v in got]
+        assert sum(abs(a - b) <= 5 for a, b in zip(values, values[1:])) < 0.1 * n
+
+
+def test_permutation_of_nothing_and_of_large_ranges(spark):
+    assert sampling.range_permutation(spark, 5, 5).count() == 0
+    far = spark.range(2000).select(sampling.permuted(f"id + {10**18}", (1 << 61) + 12345, 9).alias("v"))
+    assert far.distinct().count() == 2000 and far.where(f"v < 0 or v >= {(1 << 61) + 12345}").count() == 0
+
+
 def test_empty_exclusion_keeps_everything(spark):
     df = ids(spark, range(5))
     assert without_ids(df, df.limit(0)).count() == 5 and without_ids(df, []).count() == 5
