@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.llm.words import FOLD, WORD_BYTES, Words, chunks, find_words, sequence_hashes, text_buffers
+from quadrille.llm.tables import fresh_name, numbered, stored
+from quadrille.llm.words import FOLD, WORD_BYTES, Words, chunks, find_words, releasing, sequence_hashes, text_buffers
 
 SHINGLE = 3
 #: Bytes of item text whose windows are broadcast at once; more items make more blocks, each a pass over the documents.
@@ -170,10 +171,10 @@ def occurrences(docs: DataFrame, items: DataFrame, *, width: int = 13, key: str
     for block in _item_blocks(items, BLOCK_BYTES):
         index = WindowIndex(windows_of(block, width))
         grams = spark.sparkContext.broadcast(index.all_grams())
-        counts = source.select("text").mapInArrow(_counting(grams, index.lengths()), _COUNTS).groupBy("gram").agg(F.sum("n").alias("n"))
+        counts = source.select("text").mapInArrow(releasing(_counting(grams, index.lengths())), _COUNTS).groupBy("gram").agg(F.sum("n").alias("n"))
         rarity = {g & ((1 << 64) - 1): n for g, n in counts.collect()}  # shingles of this block of items alone
         index = spark.sparkContext.broadcast(WindowIndex(index.windows, rarity))
-        found.append(source.mapInArrow(_matching(index), _HITS))
+        found.append(source.mapInArrow(releasing(_matching(index)), _HITS))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -210,3 +211,12 @@ def contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, percent
         )
         .withColumn("contaminated", F.expr(f"n_hit > 0 and 100 * n_hit >= {percent} * n_words"))
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, each judged by itself whatever its id. Null and empty texts stay, as do all columns."""
+    number = fresh_name(docs, "_number")
+    rows = numbered(docs, number)
+    judged = contamination(rows, items, key=number)
+    gone = stored(judged.where("contaminated").select(F.col("doc_id").alias(number)), "contaminated")
+    return rows.join(gone, number, "left_anti").select(*(f"`{c}`" for c in docs.columns))

@@ -5,8 +5,8 @@ space is single blanks, and it has at least ``least_words`` words; shorter units
 digest are grouped over the whole corpus; the earliest in rank (doc_id, then place in the text) stays, the others go.
 
 With ``unit="passage"`` the sentences of a line are units beside the line, since passages are often copied into the
-middle of a line. A sentence is also hashed with the short ones that follow it. Repeated lines go as before; repeated
-sentences go where a run of them, across line ends too, has at least ``least_run`` words.
+middle of a line. A sentence is also hashed with the short ones that follow it. Repeated lines and sentences
+go where a run of them, across line ends too, has at least ``least_run`` words; shorter ones are phrases that texts share.
 
 Passages whose edges lie anywhere, also inside sentences or in text without sentence marks, are found word by word: each
 run of ``least_passage`` words that stands earlier goes, so of a longer copy all words go. Words are parted by ASCII white
@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm.ngram_join import FRAGMENT_BYTES
-from quadrille.llm.tables import stored, text_bytes
-from quadrille.llm.words import Words, blob, chunks, find_words, joined, mix, runs, sequence_hashes, text_buffers
+from quadrille.llm.tables import fresh_name, numbered, stored, text_bytes
+from quadrille.llm.words import Words, blob, chunks, find_words, joined, mix, releasing, runs, sequence_hashes, text_buffers
 
 #: Units of fewer words are kept wherever they stand: they are headings and list items more often than copies.
 LEAST_WORDS = 5
@@ -36,18 +37,20 @@ LEAST_WORDS = 5
 LEAST_RUN = 25
 #: Words of a repeated passage that goes wherever its edges are: "over 50 words".
 LEAST_PASSAGE = 51
-#: Words of an anchor; bits an anchor that occurs again has in the table of them, and the most bits of that table.
-ANCHOR, BITS_PER_ANCHOR, MOST_BITS = 16, 16, 1 << 29
+#: Words of an anchor; bits of a table for each hash that occurs again, and the most bits of a table.
+ANCHOR, BITS_PER_HASH, MOST_BITS = 16, 32, 1 << 29
+#: Bytes of a digest.
+_DIGEST = 12
 _UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n]+(?:\n(?![^\S\n]*(?:\n|\Z))[^\n]+)*")}
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s|\Z)|(?=\n)|\Z)")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
-_RUNS = "fragment int, ids binary, nulls binary, marks binary, counts binary, places binary, digests binary"
-_AGAIN = "doc_id long, mark long, spans array<long>"
-_FOUND = "doc_id long, mark long, start int, stop int, digest binary"
+_RUNS = "fragment int, ids binary, nulls binary, numbers binary, counts binary, places binary, digests binary"
+_AGAIN = "number long, spans array<long>"
+_FOUND = "doc_id long, number long, start int, stop int, digest binary"
 
 
 def _digest(words: list[str]) -> bytes:
-    return hashlib.md5(" ".join(words).encode()).digest()[:12]
+    return hashlib.md5(" ".join(words).encode()).digest()[:_DIGEST]
 
 
 def units_of(text: str, unit: str, least_words: int) -> Iterator[tuple[int, int, bytes]]:
@@ -83,8 +86,8 @@ def _sentences(text: str, start: int, stop: int, least_words: int) -> Iterator[t
     yield from with_tail()
 
 
-def removable(text: str, spans: list[tuple[int, int]], unit: str, least_words: int, least_run: int) -> list[tuple[int, int]]:
-    """The spans of repeated units that go: all, or for passages the runs that are long enough or else their whole lines."""
+def removable(text: str, spans: list[tuple[int, int]], unit: str, least_run: int) -> list[tuple[int, int]]:
+    """The spans of repeated units that go: all, or for passages the runs of them that are long enough."""
     if unit != "passage":
         return spans
     runs: list[list[int]] = []
@@ -99,12 +102,6 @@ def removable(text: str, spans: list[tuple[int, int]], unit: str, least_words: i
             while text[start - 1 : start] in (" ", "\t"):
                 start -= 1
             out.append((start, stop))
-            continue
-        for line in _UNITS["line"].finditer(text, start, stop):
-            begins = not line.start() or text[line.start() - 1] == "\n"
-            ends = line.end() == len(text) or text[line.end()] == "\n"
-            if begins and ends and len(line[0].split()) >= least_words:
-                out.append((line.start(), line.end()))
     return out
 
 
@@ -112,8 +109,8 @@ def _units(unit: str, least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for doc, mark, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                rows.extend((doc, mark, *found) for found in units_of(text or "", unit, least_words))
+            for doc, number, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                rows.extend((doc, number, *found) for found in units_of(text or "", unit, least_words))
                 if len(rows) > 50_000:
                     yield _batch(rows)
                     rows = []
@@ -155,8 +152,8 @@ def _running(table, width: int, least: int, fragments: int):
             data, offsets = text_buffers(batch.column("text"))
             words = find_words(data, offsets)
             first, place, hashes = _anchors(words, width, least)
-            slot = (hashes[place] & np.uint64(8 * len(bits) - 1)).astype(np.int64)
-            first = first[(bits[slot >> 3] >> (slot & 7)) & 1 == 1]
+            again = _marked(bits, hashes[place])
+            first, anchor = first[again], hashes[place][again]
             digest = np.full(len(first), least, np.uint64)
             for k in (*range(0, least - width, width), least - width):
                 digest = mix(digest ^ hashes[first + k])
@@ -166,8 +163,9 @@ def _running(table, width: int, least: int, fragments: int):
             begin = chars[offsets[doc]]
             places = (chars[words.start[first]] - begin) << 32 | (chars[words.end[first + least - 1]] - begin)
             ids, nulls = batch.column("doc_id").fill_null(0).to_numpy(), batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            marks = batch.column("mark").to_numpy()
-            part = ((digest >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+            numbers = batch.column("number").to_numpy()
+            # By the anchor: equal runs have one, and neighbouring runs mostly share theirs, so a passage is in one or two fragments.
+            part = ((mix(anchor) >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
             order = np.argsort(part, kind="stable")
             ends = np.searchsorted(part[order], np.arange(fragments + 1, dtype=np.uint64))
             rows = []
@@ -175,7 +173,7 @@ def _running(table, width: int, least: int, fragments: int):
                 own = order[ends[k] : ends[k + 1]]
                 at, count = runs(doc[own])
                 docs = doc[own][at]
-                rows.append((k, blob(ids[docs]), blob(nulls[docs]), blob(marks[docs]), blob(count), blob(places[own]), blob(digest[own])))
+                rows.append((k, blob(ids[docs]), blob(nulls[docs]), blob(numbers[docs]), blob(count), blob(places[own]), blob(digest[own])))
             kinds = (pa.int32(), *[pa.binary()] * 6)
             columns = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in _RUNS.split(", ")])
@@ -184,37 +182,74 @@ def _running(table, width: int, least: int, fragments: int):
 
 
 def _later(table: pa.Table) -> pa.Table:
-    """Of one fragment: the places of runs of words that stand earlier and do not overlap the earliest one, by document."""
+    """Of one fragment: the places of runs of words that stand earlier and do not overlap the earliest one, by row; places that meet are
+    one."""
     counts = joined(table.column("counts"), np.int64)
-    ids, nulls, marks = (np.repeat(joined(table.column(n), t), counts) for n, t in (("ids", np.int64), ("nulls", np.bool_), ("marks", np.int64)))
+    ids, nulls, numbers = (np.repeat(joined(table.column(n), t), counts) for n, t in (("ids", np.int64), ("nulls", np.bool_), ("numbers", np.int64)))
     places, digests = joined(table.column("places"), np.int64), joined(table.column("digests"), np.uint64)
-    order = np.lexsort((places, marks, ids, nulls, digests))
+    order = np.lexsort((places, numbers, ids, nulls, digests))
     at, count = runs(digests[order])
     first = np.repeat(order[at], count)
-    own = (ids[order] == ids[first]) & (nulls[order] == nulls[first]) & (marks[order] == marks[first])
-    order = order[~own | (places[order] >> 32 >= places[first] & 0xFFFFFFFF)]
-    order = order[np.lexsort((places[order], marks[order], ids[order], nulls[order]))]
-    ids, nulls, marks, places = ids[order], nulls[order], marks[order], places[order]
-    change = (ids[1:] != ids[:-1]) | (nulls[1:] != nulls[:-1]) | (marks[1:] != marks[:-1])
-    at = np.flatnonzero(np.concatenate(([True], change))) if len(order) else np.zeros(0, np.int64)
-    spans = pa.ListArray.from_arrays(pa.array(np.append(at, len(order)).astype(np.int32)), pa.array(places))
-    return pa.table({"doc_id": pa.array(ids[at], mask=nulls[at]), "mark": marks[at], "spans": spans})
+    order = order[(numbers[order] != numbers[first]) | (places[order] >> 32 >= places[first] & 0xFFFFFFFF)]
+    order = order[np.lexsort((places[order], numbers[order]))]
+    numbers, places = numbers[order], places[order]
+    start, stop = places >> 32, places & 0xFFFFFFFF
+    # Runs have one number of words, so of two runs the later one also ends later.
+    opens = np.ones(len(order), bool)
+    opens[1:] = (numbers[1:] != numbers[:-1]) | (start[1:] > stop[:-1])
+    first = np.flatnonzero(opens)
+    last = np.append(first[1:], len(order)) - 1 if len(first) else first
+    at, count = runs(numbers[first])
+    spans = pa.ListArray.from_arrays(pa.array(np.append(at, len(first)).astype(np.int32)), pa.array(start[first] << 32 | stop[last]))
+    return pa.table({"number": numbers[first][at], "spans": spans})
+
+
+def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    slot = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7)) & 1 == 1
+
+
+def _bits(hashes: DataFrame, column: str) -> Broadcast:
+    """A table with the bit of every hash, as a broadcast of ``MOST_BITS`` at most."""
+    bits = min(MOST_BITS, 1 << max(16, (BITS_PER_HASH * hashes.count()).bit_length()))
+    slots = hashes.select((F.col(column).bitwiseAND(F.lit(bits - 1)) + 1).alias("slot"))
+    parts = slots.groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("part"))
+    table = bytearray(bits // 8)
+    for k, part in parts.collect():  # 4 KB each, ``MOST_BITS`` together
+        table[(k - 1) * len(part) : k * len(part)] = part
+    return hashes.sparkSession.sparkContext.broadcast(bytes(table))
+
+
+#: The first seven bytes of a digest as a number.
+_HASH = "cast(conv(hex(substring(digest, 1, 7)), 16, 10) as bigint)"
+
+
+def _repeated(table: Broadcast):
+    """The units whose digests may be among those that stand more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(table.value, np.uint8)
+        for batch in batches:
+            column = batch.column("digest")
+            data = np.frombuffer(column.buffers()[2], np.uint8) if len(column) else np.zeros(0, np.uint8)
+            digests = data[column.offset * _DIGEST : (column.offset + len(column)) * _DIGEST].reshape(-1, _DIGEST)
+            hashes = np.zeros(len(digests), np.uint64)
+            for k in range(7):
+                hashes = hashes << np.uint64(8) | digests[:, k]
+            yield batch.filter(pa.array(_marked(bits, hashes)))
+
+    return run
 
 
 def _repeated_runs(source: DataFrame, least: int) -> DataFrame:
-    """``doc_id, mark, spans`` of all runs of ``least`` words that stand earlier, and not in part in the same place."""
+    """``number, spans`` of all runs of ``least`` words that stand earlier, and not in part in the same place."""
     width = max(1, min(ANCHOR, least // 2))
-    anchors = source.select("text").mapInArrow(_anchoring(width, least), "anchor long").groupBy("anchor").count()
+    anchors = source.select("text").mapInArrow(releasing(_anchoring(width, least)), "anchor long").groupBy("anchor").count()
     anchors = stored(anchors.where("count > 1").select("anchor"), "anchors")
-    bits = min(MOST_BITS, 1 << max(16, (BITS_PER_ANCHOR * anchors.count()).bit_length()))
-    slots = anchors.select((F.col("anchor").bitwiseAND(F.lit(bits - 1)) + 1).alias("slot"))
-    parts = slots.groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("part"))
-    table = bytearray(bits // 8)
-    for k, part in parts.collect():  # 4 KB each, ``MOST_BITS`` together
-        table[(k - 1) * len(part) : k * len(part)] = part
-    shared = source.sparkSession.sparkContext.broadcast(bytes(table))
+    shared = _bits(anchors, "anchor")
     fragments = max(8, text_bytes(source) // FRAGMENT_BYTES)
-    return source.mapInArrow(_running(shared, width, least, fragments), _RUNS).groupBy("fragment").applyInArrow(_later, _AGAIN)
+    return source.mapInArrow(releasing(_running(shared, width, least, fragments)), _RUNS).groupBy("fragment").applyInArrow(releasing(_later), _AGAIN)
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -230,57 +265,59 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def removed_units(
-    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_passage: int = LEAST_PASSAGE, key: str = "doc_id"
+    rows: DataFrame, number: str, *, unit: str = "line", least_words: int = LEAST_WORDS, least_passage: int = LEAST_PASSAGE, key: str = "doc_id"
 ) -> DataFrame:
-    """``doc_id, mark, spans``: the character ranges of repeated units, and of repeated runs of words for passages, a row
+    """``number, spans``: the character ranges of repeated units, and of repeated runs of words for passages, a row
     per document that has any. A range is one number, start * 2**32 + stop.
 
-    ``mark`` is a hash of the text: together with the id it tells rows with repeated ids apart. Rows without
-    an id rank last; equal rows (same id, same text) count as one and are treated alike.
+    ``rows`` have a ``number`` of their own. Documents rank by id, those without one last, then by number: of equal rows one keeps its text.
     """
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    found = source.mapInArrow(_units(unit, least_words), _FOUND)
-    found = stored(found, "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "start")
+    source = rows.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
+    found = stored(source.mapInArrow(releasing(_units(unit, least_words)), _FOUND), "units")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "number", "start")
     # A digest that stands once is dropped here; counts are partial before they are shuffled.
     first = stored(
         found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first"), "digests"
     )
-    again = found.join(first, "digest").where(~rank.eqNullSafe(F.col("first")))
-    again = again.selectExpr("doc_id", "mark", "array(shiftleft(cast(start as bigint), 32) | stop) as spans")
+    maybe = found.mapInArrow(releasing(_repeated(_bits(first.selectExpr(f"{_HASH} as hash"), "hash"))), _FOUND)
+    again = maybe.join(first, "digest").where(~rank.eqNullSafe(F.col("first")))
+    again = again.selectExpr("number", "array(shiftleft(cast(start as bigint), 32) | stop) as spans")
     if unit == "passage":
         again = again.unionByName(_repeated_runs(source, least_passage))
-    return again.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return again.groupBy("number").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def _removal(schema, unit: str, least_words: int, least_run: int):
+def _removal(schema, unit: str, least_run: int, text: str, spans: str):
     names, kind = schema.names, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-            gone = [removable(t, [(s >> 32, s & 0xFFFFFFFF) for s in set(found)], unit, least_words, least_run) if found else [] for t, found in zip(texts, spans)]
+            texts, marked = batch.column(text).to_pylist(), batch.column(spans).to_pylist()
+            gone = [removable(t, [(s >> 32, s & 0xFFFFFFFF) for s in set(found)], unit, least_run) if found else [] for t, found in zip(texts, marked)]
             kept = [_cut(t, cuts) if cuts else t for t, cuts in zip(texts, gone)]
             removed = [[{"start": a, "stop": b} for a, b in sorted(cuts)] or None for cuts in gone]
             columns = {n: batch.column(n) for n in batch.schema.names}
-            columns |= {"text": pa.array(kept, batch.schema.field("text").type), "spans": pa.array(removed, kind)}
+            columns |= {text: pa.array(kept, batch.schema.field(text).type), spans: pa.array(removed, kind)}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return run
 
 
 def without_repeats(
-    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, least_passage: int = LEAST_PASSAGE, key: str = "doc_id"
+    docs: DataFrame, *, unit: str = "line", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, least_passage: int = LEAST_PASSAGE, key: str = "doc_id",
+    spans: str = "spans",
 ) -> DataFrame:
     """The rows of ``docs`` with repeated units cut from ``text``, and ``spans``: what went, in original characters.
 
     All columns and all rows stay, also those whose text is empty afterwards. Null texts stay null, with null spans, as
-    have all texts that lose nothing. A column of ``docs`` named ``spans`` is replaced.
+    have all texts that lose nothing. Of rows that are equal one keeps its text. A column of ``docs`` that is named as ``spans`` is replaced; any
+    other column keeps its values, whatever its name.
     """
-    docs = docs.drop("spans")
-    gone = removed_units(docs, unit=unit, least_words=least_words, least_passage=least_passage, key=key)
-    gone = gone.selectExpr("doc_id as _gone_id", "mark as _gone_mark", "spans")
-    same = F.col(key).cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_mark"))
-    full = docs.join(gone, same, "left").select(*docs.columns, "spans")
-    schema = docs.withColumn("spans", F.lit(None).cast("array<struct<start:int,stop:int>>")).schema
-    return full.mapInArrow(_removal(schema, unit, least_words, least_run), schema)
+    docs = docs.drop(spans)
+    number, own, found = (fresh_name(docs, c) for c in ("_number", "_own", "_spans"))
+    rows = numbered(docs, number)
+    gone = removed_units(rows, number, unit=unit, least_words=least_words, least_passage=least_passage, key=key)
+    gone = gone.select(F.col("number").alias(own), F.col("spans").alias(found))
+    full = rows.join(gone, F.col(number) == F.col(own), "left").select(*(f"`{c}`" for c in docs.columns), F.col(found).alias(spans))
+    schema = docs.withColumn(spans, F.lit(None).cast("array<struct<start:int,stop:int>>")).schema
+    return full.mapInArrow(releasing(_removal(schema, unit, least_run, "text", spans)), schema)

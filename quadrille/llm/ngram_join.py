@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm.components import components
-from quadrille.llm.tables import stored, text_bytes
-from quadrille.llm.words import blob, chunks, find_words, joined, mix, runs, sequence_hashes, text_buffers
+from quadrille.llm.tables import fresh_name, numbered, stored, text_bytes
+from quadrille.llm.words import blob, chunks, find_words, joined, mix, releasing, runs, sequence_hashes, text_buffers
 from quadrille.plans.sizing import broadcast_if_small
 
 #: Text bytes whose n-grams make up one fragment of the counting step.
@@ -201,11 +201,11 @@ def shared_ngrams(docs: DataFrame, *, width: int, percent: int, key: str = "doc_
     """
     pieces = max(8, text_bytes(docs) // FRAGMENT_BYTES)
     spread = docs.select(F.monotonically_increasing_id().alias(NUMBER), F.col(key).cast("long").alias(KEY), F.col("text").cast("string").alias("text")).mapInArrow(
-        _spread(width, pieces), _SPREAD
+        releasing(_spread(width, pieces)), _SPREAD
     )
-    shared = spread.groupBy("fragment").applyInArrow(_share(pieces), _SHARED)
+    shared = spread.groupBy("fragment").applyInArrow(releasing(_share(pieces)), _SHARED)
     run, schema = _gather(percent)
-    return shared.groupBy("bucket").applyInArrow(run, schema)
+    return shared.groupBy("bucket").applyInArrow(releasing(run), schema)
 
 
 def candidate_filter(percent: int):
@@ -349,3 +349,20 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 75, key:
     return docs.select("number", "doc_id", F.col("size").cast("long").alias("n_shingles")).join(named, "number", "left").select(
         "doc_id", "n_shingles", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, *, width: int = 5, percent: int = 75, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stand for their group: of near duplicates the one with the smallest id, then the smallest row number.
+
+    Rows without an id rank last. Null and empty texts and texts without words are linked with nothing and stay. Repeated rows are copies. All columns stay,
+    whatever their names.
+    """
+    number = fresh_name(docs, "_number")
+    rows = numbered(docs, number)
+    groups = near_duplicates(rows, width=width, percent=percent, key=number).selectExpr("doc_id as number", "component_id as comp")
+    shared = stored(groups.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp"), "groups")
+    ids = rows.select(F.col(number).alias("number"), F.col(f"`{key}`").alias("id"))
+    members = stored(groups.join(shared, "comp", "left_semi").join(ids, "number"), "members")
+    first = stored(members.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "number")).alias("first")), "first")
+    gone = stored(members.join(first, "comp").where("number != first.number").select(F.col("number").alias(number)), "gone")
+    return rows.join(gone, number, "left_anti").select(*(f"`{c}`" for c in docs.columns))

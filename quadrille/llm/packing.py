@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm.encode import encoder
 from quadrille.llm.tables import stored
+from quadrille.llm.words import releasing
 
 #: Branches the search may open, over all rounds; the incumbent is returned when they are used up. Nothing else ends it. A
 #: branch that is looked at and not opened counts as a sixteenth.
@@ -264,7 +265,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int
     ``task`` and ``nth`` number the pieces of one length within a task: the raw material of their ranks.
     """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = source.mapInArrow(_cutting(tokenizer, capacity, end_id, with_ids), _PIECES)
+    cut = source.mapInArrow(releasing(_cutting(tokenizer, capacity, end_id, with_ids)), _PIECES)
     return stored(cut if with_ids else cut.drop("ids"), "pieces")
 
 
@@ -320,7 +321,7 @@ def pack(cut: DataFrame, *, capacity: int = 2048) -> DataFrame:
     kept = [c for c in cut.columns if c not in ("task", "nth")]
     ranked = ranked.select(*kept, "rank")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name != "rank")
-    return ranked.mapInArrow(_placing(plan, capacity), f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(releasing(_placing(plan, capacity)), f"{schema}, sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, key: str = "doc_id") -> DataFrame:

@@ -13,14 +13,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quadrille.llm.words import FOLD, chunks, mix, text_buffers
+from quadrille.llm.words import FOLD, chunks, mix, releasing, text_buffers
 
 #: Bytes of a passage.
 PASSAGE = 400
 #: Labelled rows that the model is fitted on, half of each label where there are enough; and the most passages, spread
 #: evenly over the text, that one of them brings into the fit. Scoring reads all passages of all texts.
-MOST_LABELLED, MOST_PASSAGES = 3000, 24
+MOST_LABELLED = 3000
 PAIR_BUCKETS = 256
 HIDDEN, GATE = 24, 12
 
@@ -126,8 +127,7 @@ def _encoding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, first = passage_features(*text_buffers(batch.column("text")))
         rows = []
         for a, b in zip(first[:-1], first[1:]):
-            chosen = np.unique(np.linspace(a, b - 1, min(b - a, MOST_PASSAGES)).astype(np.int64))
-            rows.append(x[chosen].astype(np.float16).tobytes())
+            rows.append(x[a:b].astype(np.float16).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows)], names=["doc_id", "quality", "passages"])
 
 
@@ -141,7 +141,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", k
     halves = [known.where(F.col("quality") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most // 2) for k in (0, 1)]
     chosen = F.broadcast(halves[0].unionByName(halves[1]))  # at most ``most`` rows of two numbers
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
-    found = texts.mapInArrow(_encoding, "doc_id long, quality int, passages binary").collect()
+    found = texts.mapInArrow(releasing(_encoding), "doc_id long, quality int, passages binary").collect()
     model = Model()
     if not found:
         return model
@@ -151,13 +151,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", k
     return model.fit(np.concatenate(bags).astype(np.float32), first, np.array([r.quality for r in found]))
 
 
-def _scoring(shared):
+def _scoring(shared, text: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in chunks(batches, most=1 << 20):
-            score = model.forward(*passage_features(*text_buffers(batch.column("text"))))["score"].astype(np.float64)
-            columns = [batch.column(n) for n in batch.schema.names if n != "_score"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*(n for n in batch.schema.names if n != "_score"), "_score"])
+        for batch in chunks(batches, text, most=1 << 20):
+            score = model.forward(*passage_features(*text_buffers(batch.column(text))))["score"].astype(np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
     return run
 
@@ -165,9 +164,9 @@ def _scoring(shared):
 def with_quality(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with the score of each text (a column of that name is replaced); one pass without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("_score", name)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scoring(shared), f"{schema}, _score double").withColumnRenamed("_score", name)
+    docs = docs.drop(name)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(releasing(_scoring(shared, "text", name)), schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:

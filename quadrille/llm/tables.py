@@ -26,15 +26,28 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 
     What is not a plain scan of files is stored first.
     """
+    path, place, file, at = (fresh_name(docs, c) for c in ("_path", "_place", "_file", "_at"))
+    where = [F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place)]
     try:
-        places = docs.select("*", "_metadata.file_path", "_metadata.row_index")
+        if "_metadata" in docs.columns:
+            raise AnalysisException("a column hides the metadata")
+        places = docs.select("*", *where)
     except AnalysisException:
-        docs = stored(docs, "rows")
-        places = docs.select("*", "_metadata.file_path", "_metadata.row_index")
-    paths = sorted(r[0] for r in places.select("file_path").distinct().collect())  # a row per file
-    files = docs.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), "file_path string, file long")
-    places = places.join(F.broadcast(files), "file_path")
-    return places.select(*docs.columns, F.expr("shiftleft(file, 40) + row_index").alias(name))
+        docs = stored(docs.withColumnRenamed("_metadata", at) if "_metadata" in docs.columns else docs, "rows")
+        places = docs.select("*", *where)
+    paths = sorted(r[0] for r in places.select(path).distinct().collect())  # a row per file
+    files = docs.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), f"{path} string, {file} long")
+    places = places.join(F.broadcast(files), path)
+    names = [F.col(at).alias("_metadata") if c == at else F.col(f"`{c}`") for c in docs.columns]
+    return places.select(*names, (F.shiftleft(file, 40) + F.col(place)).alias(name))
+
+
+def fresh_name(docs: DataFrame, base: str) -> str:
+    """A column name that ``docs`` does not have, whatever the case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:

@@ -6,7 +6,9 @@ read whole without decoding. Word hashes have 64 bits and depend on the word alo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 from typing import NamedTuple
 
 import numpy as np
@@ -67,6 +69,36 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = CH
             first = last
 
 
+def releasing(run: Callable) -> Callable:
+    """``run``, an iterator over batches or a function of a table, that gives its memory back when it has ended.
+
+    Spark keeps Python workers for later tasks, also of other stages; what their allocators hold back adds up otherwise.
+    """
+
+    def release() -> None:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # another C library
+
+    @wraps(run)
+    def batches(argument):
+        try:
+            yield from run(argument)
+        finally:
+            release()
+
+    @wraps(run)
+    def table(argument):
+        try:
+            return run(argument)
+        finally:
+            release()
+
+    return table if "Table" in str(run.__annotations__.get("return")) else batches
+
+
 _powers = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
 
@@ -77,8 +109,8 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
         up[0] = down[0] = 1
         made = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size > 16 * CHUNK_BYTES:
-            return made
+        if size > 2 * CHUNK_BYTES:
+            return made  # not kept after a long text
         _powers = made
     return _powers
 

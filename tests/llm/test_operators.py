@@ -175,7 +175,7 @@ def test_line_dedup_units(spark):
 
 
 def without_passages(rows, least=5, run=25):
-    """Plain Python: a flag per character of what stands earlier, then runs of flags."""
+    """Plain Python: a flag per character of what stands earlier, as a line or sentence or as one of 51 words, then runs of flags."""
     fold = lambda s: " ".join(s.translate(LOWER).split())
     units = []
     for doc, text in sorted(rows):
@@ -199,9 +199,9 @@ def without_passages(rows, least=5, run=25):
     for doc, a, b, words in units:
         if first[words] != (doc, a):
             flags[doc][a:b] = b"\1" * (b - a)
-    out = {}
+    out, inside = {}, left_over(rows)
     for doc, text in texts.items():
-        flag = flags[doc]
+        flag = bytearray(a | b for a, b in zip(flags[doc], inside[doc]))
         for gap in re.finditer(r"\s+", text):
             if gap.start() and gap.end() < len(text) and flag[gap.start() - 1] and flag[gap.end()]:
                 flag[gap.start() : gap.end()] = b"\1" * len(gap[0])
@@ -209,10 +209,9 @@ def without_passages(rows, least=5, run=25):
         for match in re.finditer(b"\1+", bytes(flag)):
             a, b = match.span()
             if len(text[a:b].split()) >= run:
+                while a and text[a - 1] in " \t":
+                    a -= 1
                 spans.append((a, b))
-                continue
-            lines = [m for m in re.finditer(r"(?m)^[^\n]+$", text) if a <= m.start() and m.end() <= b]
-            spans += [m.span() for m in lines if len(m[0].split()) >= least]
         keep = bytearray(b"\1" * len(text))
         for a, b in spans:
             whole = a == 0 or text[a - 1] == "\n"
@@ -237,7 +236,7 @@ def test_passages_inside_lines(spark, docs, nothing):
     assert {d: r.text for d, r in got.items()} == without_passages(list(texts.items()))
     assert got[1].text == texts[1] and got[4].text == texts[4] and got[1].spans is None and got[4].spans is None
     assert got[2].text == "Quite another start it has here, this one.\nA line of its own after that."
-    assert [tuple(s) for s in got[2].spans] == [(42, 43 + len(passage))] and got[3].text == "" and got[5].text == "\nNo. No. No. No."
+    assert [tuple(s) for s in got[2].spans] == [(42, 43 + len(passage))] and got[3].text == "" and got[5].text == texts[5]
     assert line_dedup.without_repeats(docs, unit="passage").count() == docs.count()
     assert line_dedup.without_repeats(nothing, unit="passage").count() == 0
 
@@ -529,4 +528,4 @@ def test_quality(spark, docs, nothing):
     assert quality.quality_scores(nothing, labels).count() == 0
     assert quality.quality_scores(docs, labels.limit(0)).count() == len(TEXTS)
     kept = quality.with_quality(docs.withColumn("_score", F.lit(1)), quality.Model(), "score")
-    assert set(kept.columns) == set(docs.columns)
+    assert set(kept.columns) == {*docs.columns, "_score"} and {r["_score"] for r in kept.collect()} == {1}

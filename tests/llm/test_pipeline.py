@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from quadrille.llm import decontaminate, ngram_join
+from quadrille.llm import decontaminate, line_dedup, ngram_join
 from quadrille.llm.queries import QUERIES
 from quadrille.llm.tables import read_table, stored
 from tests.conftest import SF
@@ -44,6 +46,49 @@ def test_rows_with_repeated_and_null_ids(spark):
     assert sorted(r.text[:5] for r in corpus_pipeline.keep_clean(spark, both(mixed), SF).collect()) == ["clean", "other"]
 
 
+#: Names that the operators use themselves.
+CLASH = ("_score", "_quality", "score", "spans", "_spans", "_number", "number", "_own", "_gone_id", "mark", "_row", "file", "file_path", "row_index", "_path", "_place", "_file", "_at", "start", "_metadata")
+
+
+def test_clashing_names_keep_their_values(spark):
+    docs = read_table(spark, SF, "documents").limit(60)
+    for k, name in enumerate(CLASH):
+        docs = docs.withColumn(name, F.lit(k))
+    table = stored(docs, "clash")
+    for name, stage in corpus_pipeline.STAGES:
+        table = stored(stage(spark, table, SF), "clash")
+        if name != "best-fit packing":
+            assert table.columns == docs.columns, name
+            assert {tuple(r) for r in table.select(*CLASH).distinct().collect()} == {tuple(range(len(CLASH)))}, name
+    assert table.count() > 0
+
+
+def test_empty_tables_and_long_texts(spark):
+    docs = read_table(spark, SF, "documents")
+    table = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        table = stored(stage(spark, table, SF), "empty")
+        assert table.count() == 0, name
+    long = " ".join(f"word{k % 9001}x{k % 77}" for k in range(120_000))
+    rows = [(1, long, "en", "a", len(long)), (2, "short " + long, "en", "a", 0), (3, None, None, None, 7), (4, "", "en", "a", 0)]
+    table = stored(spark.createDataFrame(rows, docs.schema), "long")
+    assert corpus_pipeline.keep_one_of_each_group(spark, table, SF).count() == 3
+    cut = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, table, SF).collect()}
+    assert cut == {1: (long, len(long)), 2: ("short", 5), 3: (None, 7), 4: ("", 0)}
+    assert corpus_pipeline.keep_clean(spark, table, SF).count() == 4
+    assert corpus_pipeline.keep_good(spark, table, SF).count() <= 4
+
+
+def test_of_equal_rows_one_keeps_its_text(spark):
+    words = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, words), (1, words), (None, "x " + words), (None, "x " + words), (0, words + " end")]
+    for table in (spark.createDataFrame(rows, "doc_id long, text string").repartition(3), stored(spark.createDataFrame(rows, "doc_id long, text string"), "equal")):
+        got = line_dedup.without_repeats(table, unit="passage").collect()
+        assert sorted(((str(r.doc_id), r.text) for r in got)) == [("0", words + " end"), ("1", ""), ("1", ""), ("None", ""), ("None", "x")]
+        lines = line_dedup.without_repeats(table.where("doc_id = 1")).collect()
+        assert sorted(r.text for r in lines) == ["", words]
+
+
 def test_every_query_is_listed():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert decontaminate.SHINGLE <= 13 and ngram_join.ORDER_FRAGMENTS > 1
