@@ -107,7 +107,7 @@ def removable(text: str, spans: list[tuple[int, int]], unit: str, least_run: int
 
 def _units(unit: str, least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches):
             rows: list[tuple] = []
             for doc, number, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 rows.extend((doc, number, *found) for found in units_of(text or "", unit, least_words))
@@ -291,7 +291,7 @@ def _removal(schema, unit: str, least_run: int, text: str, spans: str):
     names, kind = schema.names, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches, text):
             texts, marked = batch.column(text).to_pylist(), batch.column(spans).to_pylist()
             gone = [removable(t, [(s >> 32, s & 0xFFFFFFFF) for s in set(found)], unit, least_run) if found else [] for t, found in zip(texts, marked)]
             kept = [_cut(t, cuts) if cuts else t for t, cuts in zip(texts, gone)]

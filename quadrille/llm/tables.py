@@ -9,15 +9,28 @@ from pyspark.sql import functions as F
 from quadrille.plans.durable import fresh_folder
 
 
+#: Rows of a batch that goes to a Python worker: texts of some thousand characters make a few megabytes, in the worker and beside it.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of the session, unless they are smaller already. Results do not depend on them."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    small_batches(spark)
     folder = fresh_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
 def read_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -26,6 +39,7 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 
     What is not a plain scan of files is stored first.
     """
+    small_batches(docs.sparkSession)
     path, place, file, at = (fresh_name(docs, c) for c in ("_path", "_place", "_file", "_at"))
     where = [F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place)]
     try:

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text handled at once, and texts; a longer text is handled alone.
+CHUNK_BYTES, CHUNK_TEXTS = 1 << 20, 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -64,7 +64,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = CH
         first = 0
         while first < len(sizes):
             done = int(total[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(total, done + most, side="right")))
+            last = min(first + CHUNK_TEXTS, max(first + 1, int(np.searchsorted(total, done + most, side="right"))))
             yield batch.slice(first, last - first)
             first = last
 
