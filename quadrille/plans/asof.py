@@ -85,7 +85,7 @@ def _merge(left: DataFrame, right: DataFrame, left_key: str, take: list[str], *,
     if rows // span > least:
         rows, cuts = _cuts(right, min(most, rows // span))
     table = F.lit(cuts) if cuts else F.array().cast("array<long>")
-    marks = _searched(right.withColumn("_key", F.col("_start")), "_range", table, len(cuts))
+    marks = searched(right.withColumn("_key", F.col("_start")), "_range", table, len(cuts))
     lists = marks.groupBy("_range").agg(F.array_sort(F.collect_list(F.struct("_start", *take))).alias("_list"))
     # Quantiles are exact up to a twentieth of a range on each side, so no range holds twice the mean.
     longest = 2 * rows // (len(cuts) + 1) + 16 if len(cuts) + 1 >= min(least, most) else rows
@@ -93,9 +93,9 @@ def _merge(left: DataFrame, right: DataFrame, left_key: str, take: list[str], *,
     starts = F.when(F.size("_list") <= longest, F.col("_list._start")).otherwise(problem)
     lists = lists.select(F.col("_range").alias("_own"), starts.alias("_starts"), "_list")
     keyed = left.withColumn("_key", F.col(left_key).cast("long"))
-    placed = _searched(keyed, "_range", table, len(cuts))
+    placed = searched(keyed, "_range", table, len(cuts))
     met = placed.join(lists.hint("shuffle_hash"), F.col("_range") == F.col("_own"), "left")
-    near = _searched(met, "_at", F.col("_starts"), longest).withColumn("_near", F.get("_list", F.col("_at") - 1))
+    near = searched(met, "_at", F.col("_starts"), longest).withColumn("_near", F.get("_list", F.col("_at") - 1))
     return near.select(*left.columns, *(F.col(f"_near.{c}").alias(c) for c in take))
 
 
@@ -106,7 +106,7 @@ def _cuts(right: DataFrame, parts: int) -> tuple[int, list[int]]:
     return rows, sorted(set(found or []))
 
 
-def _searched(df: DataFrame, name: str, table: Column, size: int) -> DataFrame:
+def searched(df: DataFrame, name: str, table: Column, size: int) -> DataFrame:
     """Adds the number of elements of the sorted array ``table``, at most ``size``, that are not above ``_key``; 0 without a key."""
     out, step = df.withColumn(name, F.lit(0)), 1 << size.bit_length()
     while step > 1:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,21 @@ def measured_bytes(df: DataFrame) -> int:
     return rows * fixed + (extra or 0)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row as flat values: texts and bytes by length, arrays of numbers by 8 bytes each, all else 8."""
+    sizes = []
+    for field in df.schema.fields:
+        name, kind = f"`{field.name}`", field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            sizes.append(F.octet_length(name) + 4)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+            sizes.append(F.size(name) * 8)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(name))))
+    whole = 8 * max(1, len(df.columns) - len(sizes))
+    return sum((F.greatest(F.coalesce(s, F.lit(4)), F.lit(0)).cast("long") for s in sizes), F.lit(whole).cast("long"))
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 

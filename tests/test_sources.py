@@ -88,6 +88,31 @@ def test_large_shard_is_many_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
 
 
+@pytest.mark.parametrize("wide", [1, 5_000_000])
+def test_files_are_balanced_by_bytes(spark, tmp_path, wide):
+    """Random bytes, so that files are as large as their rows; shard 0 is large, 1 to 20 are small."""
+    n = 24 if wide > 1000 else 300_000
+    sized = spark.range(n).selectExpr(
+        "id", "if(id % 4 > 0, 's_0', concat('s_', 1 + id % 20)) as shard", "id as pos",
+        f"substr(unhex(repeat(sha2(cast(id as string), 512), {max(1, wide // 64)})), 1, {wide}) as image",
+    )
+    target = 20_000_000 if wide > 1000 else 600_000
+    tables.write_shards(sized, str(tmp_path / "t"), file_bytes=target)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    per_file = back.groupBy(F.input_file_name().alias("f"), "shard").agg(F.sum(F.octet_length("image") + 4 + 4 + 16 + 4).alias("b"))
+    assert per_file.agg(F.max("b")).first()[0] <= 2 * target
+    assert per_file.where("shard = 's_0'").count() >= 0.5 * per_file.where("shard = 's_0'").agg(F.sum("b")).first()[0] / target
+    digest = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("id", "shard", "pos", "image").cast("decimal(38,0)"))).first()
+    assert digest(back) == digest(sized)
+
+
+def test_empty_and_nameless_shards(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None, 0), (2, "a", 0)], "id long, shard string, pos long")
+    tables.write_shards(rows.limit(0), str(tmp_path / "e"))
+    tables.write_shards(rows, str(tmp_path / "t"))
+    assert sorted((r.id, r.shard) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(1, None), (2, "a")]
+
+
 def test_write_guard(spark, tmp_path):
     folder = str(tmp_path / "t")
     tables.guarded_write(spark.range(3), folder)
@@ -155,3 +180,60 @@ def test_only_a_missing_table_starts_at_one(spark, tmp_path):
     spark.range(3).withColumnRenamed("id", "other").write.parquet(str(tmp_path / "other"))
     with pytest.raises(AnalysisException):
         tables.next_id(spark, str(tmp_path / "other"))
+
+
+def test_concurrent_appends_have_disjoint_dense_ids(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = str(tmp_path / "t")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: tables.append_rows(spark.range(k + 1).selectExpr(f"id + {100 * k} as v"), folder, ["v"]), range(4)))
+    assert sorted(r.id for r in spark.read.parquet(folder).collect()) == list(range(1, 11))
+    assert tables.next_id(spark, folder) == 11
+    tables.append_rows(spark.createDataFrame([], "v long"), folder, ["v"])
+    assert tables.next_id(spark, folder) == 11
+
+
+def test_concurrent_manifest_entries_have_numbers_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = str(tmp_path / "m")
+
+    def add(k):
+        summary = spark.createDataFrame([(k, 5, k)], "max_depth int, active_cells long, excluded_data_points long")
+        tables.append_manifest(folder, name=f"q {k % 2}", tau_min=1, tau_max=2, max_id=9, summary=summary, excluded=spark.range(k + 1))
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(add, range(3)))
+    entries = spark.read.parquet(f"{folder}/entries").collect()
+    assert sorted(e.seq for e in entries) == [1, 2, 3]
+    last = tables.manifest_entry(spark, folder, "q 0").first()
+    assert tables.manifest_excluded(spark, folder, "q 0").count() == last.stats.max_depth + 1
+
+
+def test_reservations_go_on_after_an_older_table(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(5, 8).withColumn("v", F.col("id")).write.parquet(folder)
+    tables.append_rows(spark.createDataFrame([(1,)], "v long"), folder, ["v"])
+    assert spark.read.parquet(folder).agg(F.max("id")).first()[0] == 8
+
+
+@pytest.mark.parametrize("put", ["disk", "store"])
+def test_many_reservations_at_once(spark, tmp_path, put, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from quadrille.sources import reserve
+
+    folder = f"file:{tmp_path}/r"
+    workers = 8
+    if put == "store":
+        # A rename on a local disk is not one step, so there is one writer here; the second one must meet the file.
+        monkeypatch.setattr(reserve, "_on_disk", lambda *_: None)
+        workers = 1
+    with ThreadPoolExecutor(workers) as pool:
+        firsts = list(pool.map(lambda n: (reserve.reserve(spark, folder, n, lambda: 7), n), [3, 1, 2] * 8))
+    taken = sorted(i for first, n in firsts for i in range(first, first + n))
+    assert taken == list(range(7, 7 + 48)) and reserve.reserved_until(spark, folder) == 55
+    assert not reserve._put_if_absent(spark, folder, f"{0:012d}", "0 1")
+    with pytest.raises(ValueError):
+        reserve.reserve(spark, folder, 0, lambda: 1)
