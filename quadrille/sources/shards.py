@@ -1,8 +1,8 @@
 """Shard files of geotagged images: distributed decoding, the shard catalog and id assignment.
 
 A shard ``<name>_<number>.msg`` is a sequence of MessagePack maps with ``latitude``, ``longitude``, ``image``
-and optionally ``id``. Files above a split size are first walked record by record without reading the image
-bytes; the splits found there are what the decoding tasks share, so one very large shard is many tasks.
+and optionally ``id``. Files above a split size are first walked without reading the image bytes, by many tasks that start in the
+middle of a file; the splits found there are what the decoding tasks share, so one very large shard is many tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import io
 import struct
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadrille.functions.text import file_stem, stem_number
@@ -29,6 +29,17 @@ MOST_TASKS = 50_000
 CATALOG_PART = 10_000
 
 ROWS = "shard string, pos bigint, source_id string, latitude double, longitude double, image binary"
+#: Bytes of a large shard in which one task looks for records, unless splits are larger.
+WINDOW_BYTES = 32 * 1024 * 1024
+# Bytes read at once in search of a record, and records that must follow a place that looks like one.
+_SEARCH_BYTES, _PROOF_RECORDS = 1 << 20, 3
+_LONGEST_NAME = 1 << 16
+_DAMAGE = (ValueError, IndexError, struct.error)
+_WINDOW = ["path", "shard", "shard_no", "bytes", "k", "low", "high"]
+_WALKED = (
+    "path string, shard string, shard_no int, bytes bigint, k bigint, low bigint, high bigint, start bigint, stop bigint,"
+    " splits array<struct<start:bigint,stop:bigint,n:bigint>>"
+)
 _SPLITS = "path string, shard string, shard_no int, start bigint, stop bigint, first_pos bigint"
 
 # Fixed values of the MessagePack format: type byte -> struct code of a number, or of a length.
@@ -60,8 +71,13 @@ def _number(stream, code: str):
     return struct.unpack(code, stream.read(struct.calcsize(code)))[0]
 
 
-def _value(stream, wanted: bool):
-    """Next scalar; text and bytes are skipped over when not wanted."""
+def _check_length(size: int, most: int | None) -> None:
+    if most is not None and size > most:
+        raise ValueError(f"a name of {size} bytes")
+
+
+def _value(stream, wanted: bool, most: int | None = None):
+    """Next scalar; text and bytes are skipped over when not wanted, and an error when longer than ``most``."""
     kind = stream.read(1)[0]
     if kind <= 0x7F:
         return kind
@@ -73,10 +89,12 @@ def _value(stream, wanted: bool):
         return _number(stream, _NUMBERS[kind])
     if 0xA0 <= kind <= 0xBF or kind in _TEXT_LENGTHS:
         size = kind & 0x1F if kind <= 0xBF else _number(stream, _TEXT_LENGTHS[kind])
+        _check_length(size, most)
         if wanted:
             return stream.read(size).decode()
     elif kind in _BYTES_LENGTHS:
         size = _number(stream, _BYTES_LENGTHS[kind])
+        _check_length(size, most)
         if wanted:
             return stream.read(size)
     else:
@@ -98,7 +116,7 @@ def walk_records(stream, stop: int, fields: Iterable[str]) -> Iterator[tuple[int
             raise ValueError(f"no record at byte {offset}")
         record = {}
         for _ in range(entries):
-            name = _value(stream, True)
+            name = _value(stream, True, _LONGEST_NAME)
             value = _value(stream, name in fields)
             if name in fields:
                 record[name] = value
@@ -107,24 +125,67 @@ def walk_records(stream, stop: int, fields: Iterable[str]) -> Iterator[tuple[int
         raise ValueError(f"record cut off at byte {stop}")
 
 
-def _find_splits(split_bytes: int):
+def _first_record(stream, low: int, high: int, size: int) -> int | None:
+    """A place in ``low .. high`` that looks like the start of a record: it begins as the file does, and whole records follow."""
+    stream.seek(0)
+    head = stream.read(2)
+    mark = head + stream.read(head[1] & 0x1F) if len(head) == 2 and 0xA0 <= head[1] <= 0xBF else head
+    at, kept = low, b""
+    while at < high:
+        stream.seek(at)
+        chunk = stream.read(min(_SEARCH_BYTES, high + len(mark) - 1 - at))
+        text, base = kept + chunk, at - len(kept)
+        place = text.find(mark)
+        while place >= 0 and base + place < high:
+            if _records_follow(stream, base + place, size):
+                return base + place
+            place = text.find(mark, place + 1)
+        if not chunk:
+            return None
+        at, kept = at + len(chunk), text[len(text) - len(mark) + 1 :]
+    return None
+
+
+def _records_follow(stream, start: int, size: int) -> bool:
+    stream.seek(start)
+    try:
+        for found, _ in enumerate(walk_records(stream, size, ()), 1):
+            if found == _PROOF_RECORDS:
+                break
+    except _DAMAGE:
+        return False
+    return True
+
+
+def _walk_windows(split_bytes: int):
+    """Splits of the records that start in a window, from ``start`` where it is known, else from the first place that looks right."""
+
+    def walked(w):
+        with _open(w.path) as stream:
+            start = w.start if w.known else _first_record(stream, w.low, w.high, w.bytes)
+            if start is None:
+                return w.high, w.high, []
+            stream.seek(start)
+            splits, first, upto, n = [], start, start, 0
+            try:
+                for offset, _ in walk_records(stream, w.bytes, ()):
+                    if offset >= w.high:
+                        break
+                    if n and offset - first >= split_bytes:
+                        splits.append({"start": first, "stop": offset, "n": n})
+                        first, n = offset, 0
+                    n, upto = n + 1, stream.tell()
+            except _DAMAGE:
+                return start, None, []
+        return start, upto, [*splits, {"start": first, "stop": upto, "n": n}] if n else []
+
     def run(batches):
         import pandas as pd
 
-        for files in batches:
-            found = []
-            for f in files.itertuples(index=False):
-                if f.bytes <= split_bytes:
-                    found.append((f.path, f.shard, f.shard_no, 0, f.bytes, 0))
-                    continue
-                with _open(f.path) as stream:
-                    start, first = 0, 0
-                    for pos, (offset, _) in enumerate(walk_records(stream, f.bytes, ())):
-                        if offset - start >= split_bytes:
-                            found.append((f.path, f.shard, f.shard_no, start, offset, first))
-                            start, first = offset, pos
-                    found.append((f.path, f.shard, f.shard_no, start, f.bytes, first))
-            yield pd.DataFrame(found, columns=["path", "shard", "shard_no", "start", "stop", "first_pos"])
+        for windows in batches:
+            rows = [(*w[: len(_WINDOW)], *walked(w)) for w in windows.itertuples(index=False)]
+            out = pd.DataFrame(rows, columns=[*_WINDOW, "start", "stop", "splits"])
+            yield out.astype({"stop": "Int64"})
 
     return run
 
@@ -201,10 +262,42 @@ def natural_order(df: DataFrame, stem: str = "shard") -> DataFrame:
     return df.orderBy(stem_number(stem), stem)
 
 
-def shard_splits(files: DataFrame, *, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """``(path, shard, shard_no, start, stop, first_pos)``: byte ranges at record borders. Pinned."""
-    tasks = max(1, min(files.count(), MOST_TASKS))
-    return pin(files.repartition(tasks).mapInPandas(_find_splits(split_bytes), _SPLITS))
+def shard_splits(files: DataFrame, *, split_bytes: int = SPLIT_BYTES, window_bytes: int | None = None) -> DataFrame:
+    """``(path, shard, shard_no, start, stop, first_pos)``: byte ranges at record borders. Pinned.
+
+    A large shard is cut into windows that are walked at the same time, each from the first place that looks like a record. A window
+    is right when it starts where the one before it ends; the first one starts with the file. Windows that do not (bytes of an image may look
+    like records) are walked again from there, until all fit: so the result is that of a walk from the first byte.
+    """
+    named = ("path", "shard", "shard_no")
+    whole = files.where(F.col("bytes") <= split_bytes).select(
+        *named, F.lit(0).cast("long").alias("start"), F.col("bytes").alias("stop"), F.lit(0).cast("long").alias("first_pos")
+    )
+    span = window_bytes or max(split_bytes, WINDOW_BYTES)
+    windows = files.where(F.col("bytes") > split_bytes).select(*named, "bytes", F.explode(F.expr(f"sequence(0L, (bytes - 1) div {span})")).alias("k"))
+    windows = windows.withColumn("low", F.expr(f"k * {span}")).withColumn("high", F.expr(f"least((k + 1) * {span}, bytes)"))
+    walk = _walk_windows(split_bytes)
+
+    def done(part: DataFrame) -> DataFrame:
+        return part.repartition(max(1, min(part.count(), MOST_TASKS))).mapInPandas(walk, _WALKED)
+
+    walked = pin(done(windows.withColumn("start", F.lit(0).cast("long")).withColumn("known", F.col("k") == 0)))
+    in_file = Window.partitionBy("path").orderBy("k")
+    while True:
+        placed = walked.withColumn("_before", F.lag("stop").over(in_file))
+        # False where the window before is broken: its end is not known yet.
+        wrong = F.coalesce(F.col("start") != F.col("_before"), F.lit(False))
+        if placed.where(wrong).isEmpty():
+            break
+        again = placed.where(wrong).select(*_WINDOW, F.col("_before").alias("start"), F.lit(True).alias("known"))
+        walked = pin(placed.where(~wrong).drop("_before").unionByName(done(again)))
+    broken = walked.where("stop is null").select("path", "start").orderBy("path", "k").first()
+    if broken:
+        raise ValueError(f"damaged records in {broken.path} after byte {broken.start}")
+    cut = walked.select(*named, F.inline("splits"))
+    in_order = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    large = cut.select(*named, "start", "stop", F.coalesce(F.sum("n").over(in_order), F.lit(0)).cast("long").alias("first_pos"))
+    return pin(whole.unionByName(large))
 
 
 def read_shards(splits: DataFrame) -> DataFrame:

@@ -34,6 +34,28 @@ def test_splits_do_not_change_the_rows(spark, folder, split_bytes):
     assert [(r.shard, r.n) for r in counted] == [("shard_0", 700), ("shard_1", 300)]
 
 
+@pytest.mark.parametrize("window", [500, 5_000])
+def test_windows_give_the_splits_of_one_walk(spark, tmp_path, window):
+    """Images hold records, whole files of them, and pieces of records; one is larger than several windows."""
+    plain = data.pack_record({"latitude": 9.0, "longitude": 9.0, "image": b"no", "id": "inner"})
+    images = [b"x" * 30, plain * 40, plain[:11] * 9, b"", plain[3:] + plain * 3, b"y" * 2000, plain[: len(plain) - 1] + plain * 5]
+    records = [data.pack_record({"latitude": float(i), "longitude": 1.0, "image": images[i % 7], "id": str(i)}) for i in range(60)]
+    (tmp_path / "s_0.msg").write_bytes(b"".join(records))
+    listed = shards.shard_files(spark, str(tmp_path))
+    splits = shards.shard_splits(listed, split_bytes=200, window_bytes=window)
+    borders = [0]
+    for r in records:
+        borders.append(borders[-1] + len(r))
+    found = splits.orderBy("start").collect()
+    assert [s.start for s in found] == [0] + [s.stop for s in found[:-1]] and found[-1].stop == borders[-1]
+    assert all(borders[s.first_pos] == s.start for s in found) and len(found) > 5
+    rows = shards.read_shards(splits).orderBy("pos").collect()
+    assert [(r.pos, r.source_id, bytes(r.image)) for r in rows] == [(i, str(i), images[i % 7]) for i in range(60)]
+    (tmp_path / "s_0.msg").write_bytes(b"".join(records[:30]) + b"\x01" + b"".join(records[30:]))
+    with pytest.raises(ValueError, match="damaged records"):
+        shards.shard_splits(shards.shard_files(spark, str(tmp_path)), split_bytes=200, window_bytes=window)
+
+
 def test_natural_order_and_selection(spark, tmp_path):
     record = data.pack_record({"id": "a", "image": b"xyz", "latitude": 1.0, "longitude": 2.0})
     for n in (10, 9, 1):
