@@ -122,14 +122,17 @@ class Shard:
         self.slots = np.frombuffer(self.file.read_at(12 * n_slots, slots_at), "<u4").reshape(-1, 3)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First document and number of documents of each key; 0 documents where the fingerprint says no."""
+        """First document and number of documents of each key; 0 documents where the fingerprint or the stored key says no."""
         number = self.hash.find(keys)
         number[(number < 0) | (number >= len(self.slots))] = -1
         if not len(self.slots):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         slot = self.slots[number]
+        first = slot[:, 1].astype(np.int64)
         here = (number >= 0) & (slot[:, 0] == fingerprints(keys))
-        return slot[:, 1].astype(np.int64), np.where(here, slot[:, 2].astype(np.int64), 0)
+        # Keys that were never stored can share a fingerprint with the one in their slot.
+        here &= self.keys[np.where(here, first, 0)] == keys
+        return first, np.where(here, slot[:, 2].astype(np.int64), 0)
 
     def ids(self, first: int, count: int) -> np.ndarray:
         """Ids by place, as unsigned 32-bit integers."""

@@ -362,6 +362,13 @@ def test_token_store(spark, docs, nothing, library, monkeypatch):
     got = sorted((r.doc_id, tuple(r.ids)) for r in token_store.fetch(manifest, wanted).collect())
     assert got == sorted((d, tuple(ids[t].tolist())) for d, t in TEXTS if d in (10, 1, -3))
     assert token_store.read_store(token_store.write_store(nothing, BYTES, end_id=2)).count() == 0
+    entry = manifest.where("low is not null").first()
+    store, path = token_store.file_system(entry.folder)
+    shard = token_store.Shard(store, f"{path}/{entry.file}")
+    slot_of = lambda keys: shard.slots[np.clip(shard.hash.find(keys), 0, len(shard.slots) - 1), 0]
+    monkeypatch.setattr(token_store, "fingerprints", slot_of)
+    assert shard.find(np.array([entry.low]))[1][0] > 0
+    assert not shard.find(np.arange(10**9, 10**9 + 200))[1].any()
 
 
 def test_packing(docs, nothing, library):
