@@ -72,6 +72,18 @@ def test_merge_with_few_and_many_ranges(spark, rows, monkeypatch):
     assert all(g.v == (None if g.x < 1 or not rows else str((min(g.x, last) - 1) // 3)) for g in got) and len(got) == left.count()
 
 
+def test_merge_plan_does_not_grow_with_its_ranges(spark):
+    left = spark.range(0, 9000, 7).withColumnRenamed("id", "x")
+
+    def length(rows):
+        right = spark.range(rows).selectExpr("id * 3 as k", "id as v")
+        got = asof_backward(left, right, left_key="x", right_key="k", take=["v"], strategy="merge")
+        assert all(g.v == min(g.x // 3, rows - 1) for g in got.collect())
+        return len(got._jdf.queryExecution().toString())
+
+    assert length(3000) < 2 * length(40)
+
+
 def test_rank_within_groups_larger_than_a_partition(spark, many_partitions):
     rows = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', concat('g', id % 40)) as g", "(id * 7919) % 6000 as k", "id")
     got = rank_within(rows.repartition(5), "g", ["k"], "r").collect()
