@@ -150,3 +150,15 @@ def test_append_needs_frames(spark):
     assert evaluate.append(spark.range(2), spark.range(3)).count() == 5
     with pytest.raises(ValueError):
         evaluate.append()
+
+
+def test_training_blocks_follow_the_number_of_classes(spark, monkeypatch):
+    rows = spark.range(40).selectExpr("array(cast(id % 4 = 0 as int) + id / 100, cast(id % 4 = 1 as int), id % 3) as features", "cast(id % 4 as int) as class_idx")
+    assert scoring._block_mb(10, 64) == 1.0
+    # A score per row of a block and class: 60,000 classes of blocks of the usual megabyte were about a gigabyte in each task.
+    assert scoring._block_mb(60_000, 64) * (1 << 20) / (8 * 66) * 60_000 <= scoring.BLOCK_SCORES
+    usual = scoring.train_classifier(rows, 6, max_iter=200, reg=0.1)
+    monkeypatch.setattr(scoring, "BLOCK_SCORES", 12)
+    small = scoring.train_classifier(rows, 6, max_iter=200, reg=0.1)
+    assert small.getMaxBlockSizeInMB() < 1e-3 and usual.getMaxBlockSizeInMB() == 1.0
+    assert abs(usual.coefficientMatrix.toArray() - small.coefficientMatrix.toArray()).max() < 1e-4
