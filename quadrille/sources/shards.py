@@ -279,7 +279,7 @@ def shard_splits(files: DataFrame, *, split_bytes: int = SPLIT_BYTES, window_byt
     walk = _walk_windows(split_bytes)
 
     def done(part: DataFrame) -> DataFrame:
-        return part.repartition(max(1, min(part.count(), MOST_TASKS))).mapInPandas(walk, _WALKED)
+        return part.repartition(_tasks(part, F.col("high") - F.col("low"))).mapInPandas(walk, _WALKED)
 
     walked = pin(done(windows.withColumn("start", F.lit(0).cast("long")).withColumn("known", F.col("k") == 0)))
     in_file = Window.partitionBy("path").orderBy("k")
@@ -300,15 +300,22 @@ def shard_splits(files: DataFrame, *, split_bytes: int = SPLIT_BYTES, window_byt
     return pin(whole.unionByName(large))
 
 
+def _tasks(pieces: DataFrame, size: Column) -> int:
+    """A task for each piece up to four for each shuffle partition; beyond, for each ``SPLIT_BYTES``, so that small pieces share a task."""
+    rows, total = pieces.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    few = 4 * int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(rows, MOST_TASKS, max(few, -(-total // SPLIT_BYTES))))
+
+
 def read_shards(splits: DataFrame) -> DataFrame:
     """``(shard, pos, source_id, latitude, longitude, image)`` of every record; ``pos`` counts inside a shard."""
-    tasks = max(1, min(splits.count(), MOST_TASKS))
+    tasks = _tasks(splits, F.col("stop") - F.col("start"))
     return splits.repartition(tasks).mapInArrow(_decode, ROWS)
 
 
 def count_shards(splits: DataFrame) -> DataFrame:
     """``(shard, n)`` without reading image bytes."""
-    tasks = max(1, min(splits.count(), MOST_TASKS))
+    tasks = _tasks(splits, F.col("stop") - F.col("start"))
     counted = splits.repartition(tasks).mapInPandas(_count_records, "shard string, shard_no int, n bigint")
     return counted.groupBy("shard").agg(F.sum("n").alias("n"))
 

@@ -259,3 +259,11 @@ def test_many_reservations_at_once(spark, tmp_path, put, monkeypatch):
     assert not reserve._put_if_absent(spark, folder, f"{0:012d}", "0 1")
     with pytest.raises(ValueError):
         reserve.reserve(spark, folder, 0, lambda: 1)
+
+
+def test_many_small_splits_share_tasks(spark, folder):
+    splits = shards.shard_splits(shards.shard_files(spark, folder), split_bytes=1)
+    read = shards.read_shards(splits)
+    assert splits.count() == 1000 and read.rdd.getNumPartitions() == 4 * 4 and read.count() == 1000
+    large = spark.range(100).selectExpr("0L as start", f"{shards.SPLIT_BYTES} as stop")
+    assert shards._tasks(large, F.col("stop") - F.col("start")) == 100
