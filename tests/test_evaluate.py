@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from quadrille.functions import scores, text, units
 from quadrille.operators import evaluate, grid, profile, scoring
 from suite import data
-from tests.conftest import SF
+from quadrille.operators.label import one_hot_array
+from tests.conftest import SF, plan_of
 
 
 def one(spark, *columns):
@@ -162,3 +163,38 @@ def test_training_blocks_follow_the_number_of_classes(spark, monkeypatch):
     small = scoring.train_classifier(rows, 6, max_iter=200, reg=0.1)
     assert small.getMaxBlockSizeInMB() < 1e-3 and usual.getMaxBlockSizeInMB() == 1.0
     assert abs(usual.coefficientMatrix.toArray() - small.coefficientMatrix.toArray()).max() < 1e-4
+
+
+def test_softmax_of_repeated_scores(spark):
+    df = spark.sql("select array(1F, 2F, 0.5F) as s union all select array(1F, null, 0.5F) union all select cast(null as array<float>)")
+    for n in (1, 2, 3, 7, 9):
+        rows = [r[0] for r in df.select(scores.softmax("s", n)).collect()]
+        total = sum(math.exp([1, 2, 0.5][i % 3]) for i in range(n))
+        assert rows[0] == pytest.approx([math.exp([1, 2, 0.5][i % 3]) / total for i in range(n)])
+        assert rows[1] == ([1.0] if n == 1 else [None] * n) and rows[2] == [None] * n
+
+
+def test_top_classes_of_long_arrays_are_those_of_a_whole_sort(spark):
+    long = "transform(sequence(0, 999), i -> {})"
+    values = ["cast((i * 7919) % 1000 as double)", "cast(i % 7 as double)", "if(i = 500, null, i / 7D)", "if(i = 500, double('NaN'), -i / 7D)", "0D"]
+    for value in values:
+        df = spark.range(1).select(F.expr(long.format(value)).alias("s"))
+        for k in (1, 5, 200):
+            few, every = df.select(scores.top_classes("s", k), scores.top_classes("s")).first()
+            assert str(few) == str(every[:k])
+    # Beyond a few scores only pieces are sorted.
+    assert "sqrt" in str(df.select(scores.top_classes("s", 5))._jdf.queryExecution().analyzed().toString().lower())
+
+
+def test_rows_of_scores_are_not_shuffled(spark):
+    predictions = spark.range(4).select("id", F.expr("transform(sequence(0, 99), i -> cast(i % (id + 2) as double) / 10)").alias("probs"))
+    truth = spark.range(1, 9).selectExpr("id", "1.5 as latitude", "2.5 as longitude", "if(id = 3, null, cast(id as int)) as class_idx")
+    classes = spark.range(100).selectExpr("cast(id as int) as class_idx", "lpad(conv(cast(id as string), 10, 4), 5, '0') as cell", "1L as n")
+    errors = evaluate.prediction_errors(predictions, truth, classes)
+    plan = plan_of(errors)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    hard = {r.id: r.loss for r in errors.collect()}
+    assert sorted(hard) == [1, 2]
+    met = predictions.join(evaluate.truth_of(predictions, truth).select("id", "class_idx"), "id")
+    soft = evaluate.prediction_errors(one_hot_array(met, 100, keep=("probs",)), truth, classes)
+    assert {r.id: r.loss for r in soft.collect()} == pytest.approx(hard)
