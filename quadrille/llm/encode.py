@@ -12,6 +12,8 @@ import re
 from array import array
 from functools import lru_cache
 
+from quadrille.llm.words import KEEPERS
+
 #: Words a worker remembers, in two tables, before it starts afresh.
 MOST_WORDS = 500_000
 _RARE_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f"
@@ -96,3 +98,6 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """The encoder of this worker process."""
     return Encoder(path)
+
+
+KEEPERS.append(encoder)

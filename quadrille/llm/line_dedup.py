@@ -39,6 +39,8 @@ LEAST_RUN = 25
 LEAST_PASSAGE = 51
 #: Words of an anchor; bits of a table for each hash that occurs again, and the most bits of a table.
 ANCHOR, BITS_PER_HASH, MOST_BITS = 16, 32, 1 << 29
+#: Bytes of text whose runs of words are made at once.
+RUN_BYTES = 1 << 18
 #: Bytes of a digest.
 _DIGEST = 12
 _UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n]+(?:\n(?![^\S\n]*(?:\n|\Z))[^\n]+)*")}
@@ -138,7 +140,7 @@ def _anchors(words: Words, width: int, least: int) -> tuple[np.ndarray, np.ndarr
 
 def _anchoring(width: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=RUN_BYTES):
             _, place, hashes = _anchors(find_words(*text_buffers(batch.column("text"))), width, least)
             yield pa.RecordBatch.from_arrays([pa.array(hashes[np.unique(place)].view(np.int64))], names=["anchor"])
 
@@ -148,7 +150,7 @@ def _anchoring(width: int, least: int):
 def _running(table, width: int, least: int, fragments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(table.value, np.uint8)
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=RUN_BYTES):
             data, offsets = text_buffers(batch.column("text"))
             words = find_words(data, offsets)
             first, place, hashes = _anchors(words, width, least)

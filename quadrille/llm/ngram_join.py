@@ -135,15 +135,20 @@ def _share(buckets: int):
             rows.append((k, blob(numbers[own]), blob(keys[own]), blob(nulls[own]), blob(sizes[own]), None, None))
         grams = table.filter(table.column("hashes").is_valid())
         counts = joined(grams.column("counts"), np.int32)
-        numbers = np.repeat(joined(grams.column("numbers"), np.int64), counts)
-        sizes = np.repeat(joined(grams.column("sizes"), np.int32), counts)
         hashes = joined(grams.column("hashes"), np.uint64)
         order = np.argsort(hashes)
-        first, often = runs(hashes[order])
-        often = np.repeat(often, often)
-        kept = often > 1
-        order, often = order[kept], often[kept]
-        numbers, sizes, places = numbers[order], sizes[order], order_key(hashes[order], often)
+        hashes = hashes[order]
+        again = hashes[1:] == hashes[:-1]
+        kept = np.zeros(len(hashes), bool)
+        kept[1:] = again
+        kept[:-1] |= again
+        # Most n-grams are in one document: only those of the others get their documents.
+        order, hashes = order[kept], hashes[kept]
+        row = np.searchsorted(np.cumsum(counts), order, side="right")
+        numbers = joined(grams.column("numbers"), np.int64)[row]
+        sizes = joined(grams.column("sizes"), np.int32)[row]
+        often = runs(hashes)[1]
+        places = order_key(hashes, np.repeat(often, often))
         order = np.argsort(numbers, kind="stable")
         numbers, sizes, places = numbers[order], sizes[order], places[order]
         first, count = runs(numbers)

@@ -265,7 +265,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int
     ``task`` and ``nth`` number the pieces of one length within a task: the raw material of their ranks.
     """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = source.mapInArrow(releasing(_cutting(tokenizer, capacity, end_id, with_ids)), _PIECES)
+    cut = source.mapInArrow(releasing(_cutting(tokenizer, capacity, end_id, with_ids), encoder), _PIECES)
     return stored(cut if with_ids else cut.drop("ids"), "pieces")
 
 

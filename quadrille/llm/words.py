@@ -17,12 +17,17 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once, and texts; a longer text is handled alone.
 CHUNK_BYTES, CHUNK_TEXTS = 1 << 20, 4096
+#: Bytes whose sums are made at once.
+_BLOCK = 1 << 17
+#: Functions with a cache that keep something large in a worker, a tokenizer for one.
+KEEPERS: list[Callable] = []
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[ord("A") : ord("Z") + 1] += 32
+_VALUE = FOLD.astype(np.uint64) + np.uint64(1)
 #: Words are runs of anything but ASCII white space.
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
@@ -69,32 +74,39 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = CH
             first = last
 
 
-def releasing(run: Callable) -> Callable:
+def release(keeps: Callable | None = None) -> None:
+    """Gives back what allocators of this process hold, and what all ``KEEPERS`` but ``keeps`` do."""
+    for keeper in KEEPERS:
+        if keeper is not keeps:
+            keeper.cache_clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def releasing(run: Callable, keeps: Callable | None = None) -> Callable:
     """``run``, an iterator over batches or a function of a table, that gives its memory back when it has ended.
 
-    Spark keeps Python workers for later tasks, also of other stages; what their allocators hold back adds up otherwise.
+    Spark keeps Python workers for later tasks, also of other stages; what their allocators hold back adds up otherwise. So does what a stage
+    before kept for its own tasks: it goes first, but for the one of the ``KEEPERS`` that ``run`` works with.
     """
 
-    def release() -> None:
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass  # another C library
-
     @wraps(run)
     def batches(argument):
+        release(keeps)
         try:
             yield from run(argument)
         finally:
-            release()
+            release(keeps)
 
     @wraps(run)
     def table(argument):
         try:
             return run(argument)
         finally:
-            release()
+            release(keeps)
 
     return table if "Table" in str(run.__annotations__.get("return")) else batches
 
@@ -140,7 +152,12 @@ def find_words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPA
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     up, down = _tables(size + 1)
     total = np.zeros(size + 1, np.uint64)
-    np.cumsum((FOLD[data].astype(np.uint64) + np.uint64(1)) * up[:size], out=total[1:])
+    for a in range(0, size, _BLOCK):
+        b = min(a + _BLOCK, size)
+        part = _VALUE[data[a:b]]
+        part *= up[a:b]
+        part[:1] += total[a : a + 1]
+        np.cumsum(part, out=total[a + 1 : b + 1])
     hashed = mix((total[end] - total[start]) * down[start])
     return Words(start, end, np.searchsorted(offsets, start, side="right") - 1, hashed, docs)
 
