@@ -196,3 +196,12 @@ def test_boxes_of_mixed_sizes(spark):
         (i, b) for i, (lat, lon) in placed.items() for b, s, n, w, e in boxes if s <= lat < n and w <= lon < e
     )
     assert box_join(points, df.limit(0)).count() == 0
+
+
+def test_a_distance_is_worked_out_once_per_pair(crowded):
+    """Sines and cosines of latitudes come with points and cells; the join has a cheap condition alone, and weights follow it."""
+    _, classes, labelled = crowded
+    plan = plan_of(smoothed_labels(labelled, classes))
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "_square" in line]
+    assert len(joins) == 1 and "ATAN2" not in joins[0].upper() and "EXP(" not in joins[0].upper()
+    assert plan.upper().count("ATAN2") <= 2
