@@ -205,3 +205,23 @@ def test_a_distance_is_worked_out_once_per_pair(crowded):
     joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "_square" in line]
     assert len(joins) == 1 and "ATAN2" not in joins[0].upper() and "EXP(" not in joins[0].upper()
     assert plan.upper().count("ATAN2") <= 2
+
+
+def test_dense_labels_neither_move_nor_sort_the_pairs(crowded):
+    """An aggregation that collects them would sort, and spill, from 128 points a task on."""
+    cells, classes, labelled = crowded
+    weights = smoothed_labels(labelled, classes)
+    plan = plan_of(dense_labels(weights, len(cells))).split("HashJoin [_square")[0]
+    assert "Sort" not in plan and "Exchange" not in plan and "Aggregate" not in plan
+    expected = {}
+    for r in weights.collect():
+        expected.setdefault(r.id, [0.0] * len(cells))[r.class_idx] = r.weight
+    got = {r.id: r.label for r in dense_labels(weights, len(cells)).collect()}
+    assert got.keys() == expected.keys() and all(got[k] == pytest.approx(expected[k], abs=1e-6) for k in got)
+
+
+def test_dense_labels_of_odd_entries(spark):
+    entries = [(1, 2, 0.5), (1, 0, 0.25), (2, 1, None), (2, 3, 1.0), (None, 3, 1.0), (4, 1, 0.75), (4, 1, 0.5), (5, None, 1.0)]
+    sparse = spark.createDataFrame(entries, "id long, class_idx int, weight float")
+    got = {r.id: r.label for r in dense_labels(sparse, 4).collect()}
+    assert got == {1: [0.25, 0, 0.5, 0], 2: [0, None, 0, 1.0], None: [0, 0, 0, 1.0], 4: [0, 0.5, 0.75, 0, 0], 5: None}
