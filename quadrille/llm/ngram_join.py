@@ -8,9 +8,11 @@ reaches the threshold. Steps:
 2. A document whose shared n-grams are fewer than its least possible overlap has no partner and is done. Documents
    with equal sets form one class and are represented by one of them.
 3. The n-grams that are left have a global order, rarest first. Pairs that share an n-gram of both prefixes, and pass
-   the length and position bounds, are candidates. First every document meets a few hubs for each of its prefix
-   n-grams; n-grams whose documents are all connected by then need no more pairs. The documents of the others
-   meet each other unless they are connected already. So large groups of copies cost a few rows per copy and n-gram.
+   the length and position bounds, are candidates. First every document meets one hub for each of its prefix n-grams, the document
+   whose n-grams are the most common: it lies in the middle of its group. n-grams whose documents are all connected by
+   then need no more pairs. In rounds, documents outside the largest component of an n-gram meet hubs of it, twice as many in
+   each round, so that one with few partners in a large group finds one without meeting all of it. The documents still
+   apart meet each other. So large groups of copies cost a few rows per copy and n-gram.
 4. The global order is cut into fragments. Each fragment counts the overlap of a candidate in its own part of the
    order; the parts are summed per pair, which gives the exact similarity. The rarest fragment comes first, and pairs
    that cannot reach the threshold any more go no further.
@@ -21,6 +23,7 @@ Only connectivity is asked for, so pairs inside a connected group are left out;
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -38,9 +41,9 @@ from quadrille.plans.sizing import broadcast_if_small
 FRAGMENT_BYTES = 8 << 20
 #: Parts of the global order whose overlaps are counted apart.
 ORDER_FRAGMENTS = 4
-#: Documents of an n-gram that the others meet in the rounds after the first; most rounds; and how many pairs a prefix
-#: entry may cost on average before one more round is the better plan, as long as rounds halve the pairs that are left. They choose the plan, never the result.
-HUBS, HUB_ROUNDS, PAIRS_PER_ENTRY = 8, 5, 4
+#: Documents of an n-gram that the others meet in the second round, and how many pairs a prefix entry may cost on average before one more round is
+#: the better plan. Each round has twice as many hubs. They choose the plan, never the result.
+HUBS, PAIRS_PER_ENTRY = 8, 4
 NUMBER, KEY = "_number", "_doc_id"
 _SPREAD = "fragment int, numbers binary, keys binary, nulls binary, sizes binary, counts binary, hashes binary"
 _SHARED = "bucket int, numbers binary, keys binary, nulls binary, sizes binary, counts binary, grams binary"
@@ -166,7 +169,7 @@ def _share(buckets: int):
 
 def _gather(percent: int):
     """Of one bucket: its documents; with their shared n-grams, rarest first, where they can have a partner."""
-    schema = "number long, doc_id long, size int, digest binary, grams array<long>"
+    schema = "number long, doc_id long, size int, digest binary, grams array<long>, middle float"
 
     def run(table: pa.Table) -> pa.Table:
         about = table.filter(table.column("keys").is_valid())
@@ -185,24 +188,27 @@ def _gather(percent: int):
         owner, places = owner[order], places[order]
         first, count = runs(owner)
         found = {int(n): (a, a + c) for n, a, c in zip(owner[first], first, count)}
-        digests, grams = [], []
+        often = np.ldexp(1.0, (places >> 57).astype(np.int32))
+        digests, grams, middle = [], [], []
         for number, size in zip(numbers.tolist(), sizes.tolist()):
             a, b = found.get(number, (0, 0))
             grams.append(places[a:b] if b > a else None)
+            middle.append(often[a:b].sum() / size if b > a else None)
             digests.append(hashlib.md5(blob(places[a:b])).digest() if b > a and b - a == size else None)
         return pa.Table.from_arrays(
-            [pa.array(numbers), pa.array(keys, mask=nulls), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
-            names=["number", "doc_id", "size", "digest", "grams"],
+            [pa.array(numbers), pa.array(keys, mask=nulls), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(grams, pa.list_(pa.int64())), pa.array(middle, pa.float32())],
+            names=["number", "doc_id", "size", "digest", "grams", "middle"],
         )
 
     return run, schema
 
 
 def shared_ngrams(docs: DataFrame, *, width: int, percent: int, key: str = "doc_id") -> DataFrame:
-    """A row per document: ``number`` (of the row), doc_id, size, digest, grams.
+    """A row per document: ``number`` (of the row), doc_id, size, digest, grams, middle.
 
     ``grams`` has the n-grams that other documents have too, rarest first, or null where they are too few for any
-    partner. ``digest`` stands for the whole set where all of it is shared.
+    partner. ``digest`` stands for the whole set where all of it is shared. ``middle`` is the mean document count of the n-grams, by octaves:
+    of similar documents, the one that most others resemble has the greatest.
     """
     pieces = max(8, text_bytes(docs) // FRAGMENT_BYTES)
     spread = docs.select(F.monotonically_increasing_id().alias(NUMBER), F.col(key).cast("long").alias(KEY), F.col("text").cast("string").alias("text")).mapInArrow(
@@ -255,15 +261,20 @@ def verified(pairs: DataFrame, segments: list[DataFrame], percent: int) -> DataF
 
 
 def _hub_pairs(entries: DataFrame, percent: int, hubs: int, seed: int) -> DataFrame:
-    """Distinct candidates of every entry with up to ``hubs`` documents of its n-gram's largest component, if it is not in it."""
+    """Distinct candidates of every entry with up to ``hubs`` documents of its n-gram's largest component, if it is not in it.
+
+    Hubs are those in the middle of their share of the component, or in every other round any of it.
+    """
     salt = f"pmod(xxhash64(number, {seed}), {hubs})"
-    able, rank = entries, "number"
+    able, rank = entries, "struct(-middle, number)"
     if seed:
         # Only of the largest component: the others are few, and one of them would meet all of its documents.
         each = entries.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"))
         main = each.groupBy("gram").agg(F.max(F.struct("n", F.expr("-comp").alias("low"))).alias("main"))
         main = stored(main.selectExpr("gram", "-main.low as comp"), "main")
-        able, rank = entries.join(main, ["gram", "comp"], "left_semi"), f"xxhash64(number, {seed} + 1000)"
+        able = entries.join(main, ["gram", "comp"], "left_semi")
+        if seed % 2 == 0:
+            rank = f"xxhash64(number, {seed} + 1000)"
     chosen = stored(
         able.groupBy("gram", F.expr(salt).alias("salt"))
         .agg(F.min_by(F.struct("number", "size", "rest", "comp"), F.expr(rank)).alias("hub"))
@@ -314,26 +325,32 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 75, key:
         live.select("number", "digest").join(same, "digest", "left").selectExpr("number", "coalesce(node, number) as node"), "member"
     )
     copies = broadcast_if_small(member.where("number != node").select("number"), 16 << 20)
-    nodes = stored(live.join(copies, "number", "left_anti").select("number", "size", "grams"), "nodes")
+    nodes = stored(live.join(copies, "number", "left_anti").select("number", "size", "grams", "middle"), "nodes")
     segments = segments_of(nodes)
     # Prefix entries; n-grams of this document alone come first in the order and are counted as positions.
     prefix = f"size(grams) - cast(({percent} * size + 99) div 100 as int) + 1"
     entries = stored(
-        nodes.select("number", "size", F.expr("size(grams)").alias("shared"), F.posexplode(F.expr(f"slice(grams, 1, {prefix})")).alias("at", "gram"))
-        .selectExpr("gram", "number", "size", "shared - at - 1 as rest"),
+        nodes.select("number", "size", "middle", F.expr("size(grams)").alias("shared"), F.posexplode(F.expr(f"slice(grams, 1, {prefix})")).alias("at", "gram"))
+        .selectExpr("gram", "number", "size", "shared - at - 1 as rest", "middle"),
         "entries",
     )
-    # Hubs first: one for each n-gram, then several for those whose documents are still apart.
+    # Hubs first: one for each n-gram, then more and more for those whose documents are still apart.
     tested, links, rest, comps = [], [], entries.withColumn("comp", F.col("number")), None
     pairs_left = None
-    for hubs, seed in ((1, 0), *((HUBS, k) for k in range(1, HUB_ROUNDS))):
-        pairs = stored(_hub_pairs(rest, percent, hubs, seed), "hubs")
+    for seed in itertools.count():
+        hubs = HUBS << seed - 1 if seed else 1
+        pairs = _hub_pairs(rest, percent, hubs, seed)
+        if tested:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["x", "y"], "left_anti")
+        pairs = stored(pairs, "hubs")
         links.append(stored(verified(pairs, segments, percent), "links"))
         tested.append(pairs)
         comps = components(reduce(DataFrame.unionByName, links).selectExpr("x as a", "y as b"))
         rest = stored(_still_apart(rest, comps), "apart")
         before, (left, pairs_left) = pairs_left, _pairs_left(rest)
-        if pairs_left <= PAIRS_PER_ENTRY * left or (before is not None and 2 * pairs_left > before):
+        # Another round costs up to its hubs an entry: worth it while that is little beside the pairs, or while rounds save as much.
+        cheap = 2 * PAIRS_PER_ENTRY * (HUBS << seed) * left < pairs_left
+        if pairs_left <= PAIRS_PER_ENTRY * left or not (cheap or before is None or before - pairs_left >= left):
             break
     if left:
         x = rest.selectExpr("gram", "number as x", "size as x_size", "rest as x_rest", "comp as x_comp")

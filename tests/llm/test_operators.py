@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -98,6 +99,27 @@ def test_near_duplicates_of_a_large_group_and_a_hot_passage(spark):
     assert sorted((tuple(r) for r in ngram_join.near_duplicates(df).collect()), key=repr) == groups(rows)
 
 
+def edited(size, edits, seed):
+    """Copies of one text, the k-th with ``edits[k]`` words of its own at random places."""
+    rng, rows = random.Random(seed), []
+    for k, n in enumerate(edits):
+        words = [f"w{i}" for i in range(size)]
+        for at in rng.sample(range(size), n):
+            words[at] = f"new{k}x{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_copies_with_few_partners_do_not_meet_their_whole_group(spark, monkeypatch):
+    # Of 150 words, two copies link when they have up to 4 edits together: those with 3 link with the 5 that have one alone.
+    edits = [2] * 200 + [1] * 5 + [3] * 60 + [2] * 200
+    rows, met, verified = edited(150, edits, 5), [], ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *more: met.append(pairs.count()) or verified(pairs, *more))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == groups(rows)
+    assert sum(met) <= 10 * len(rows)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(20)] + [(40, 30), (50, 30), (50, 60), (7, 7)]
     got = {r.node: r.comp for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
