@@ -1,4 +1,4 @@
-"""Pairs of points and cells as matrices, packed labels, and rounding without decimals."""
+"""Pairs of points and cells as matrices, packed and one-hot labels, sums and rounding in compiled code."""
 
 from __future__ import annotations
 
@@ -9,9 +9,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quadrille.functions.scores import rounded
+from quadrille.functions.scores import rounded, sparse_sum
 from quadrille.operators import squares
-from quadrille.operators.label import dense_labels, label_entries, label_sums, near_cells, smoothed_labels, with_cell
+from quadrille.operators.label import (
+    dense_labels,
+    label_entries,
+    label_sums,
+    near_cells,
+    one_hot_array,
+    smoothed_labels,
+    with_cell,
+)
 from tests.conftest import plan_of
 from tests.test_cells import exact_path
 
@@ -92,3 +100,21 @@ def test_rounding_is_that_of_round(spark):
     same = df.select(rounded("x", 6).alias("a"), F.round("x", 6).alias("b")).where("cast(a as string) <=> cast(b as string)")
     assert same.count() == len(numbers)
     assert "round" in df.select(rounded("x", 6))._jdf.queryExecution().toString()
+
+
+def test_one_hot_rows_are_dealt_while_they_are_narrow(spots):
+    n, _, labelled = spots
+    hot = one_hot_array(labelled.coalesce(1), n, tasks=5)
+    above, below = plan_of(hot).split("Exchange hashpartitioning")[:2]
+    assert "array_repeat" in above and "array_repeat" not in below
+    assert hot.rdd.getNumPartitions() == 5
+    got = sorted((str(r.id), r.label) for r in hot.collect())
+    assert got == sorted((str(r.id), r.label) for r in one_hot_array(labelled, n).collect())
+
+
+def test_sum_of_sparse_floats(spark):
+    rows = [([0.0, 0.25, 0.0, -0.0, 2.0],), ([],), (None,), ([0.0, None],), ([math.nan, 0.0],), ([0.0, 0.0],)]
+    df = spark.createDataFrame(rows, "x array<float>")
+    got = df.select(sparse_sum("x").alias("a"), F.expr("aggregate(x, 0D, (a, v) -> a + v)").alias("b"))
+    assert got.where("a <=> b").count() == len(rows)
+    assert "array_remove" in plan_of(got)
