@@ -198,3 +198,17 @@ def test_rows_of_scores_are_not_shuffled(spark):
     met = predictions.join(evaluate.truth_of(predictions, truth).select("id", "class_idx"), "id")
     soft = evaluate.prediction_errors(one_hot_array(met, 100, keep=("probs",)), truth, classes)
     assert {r.id: r.loss for r in soft.collect()} == pytest.approx(hard)
+
+
+def test_all_cells_are_ranked_as_by_a_sort_of_pairs(spark):
+    """Nulls first and NaN last, ties by class, without an object per score."""
+    long = "transform(sequence(0, 299), i -> {})"
+    values = ["cast((i * 7919) % 1000 as double)", "cast(i % 7 as double)", "if(i % 9 = 5, null, i % 11 / 7D)", "if(i % 5 = 0, double('NaN'), -(i % 3) / 7D)", "if(i = 3, -0D, 0D)"]
+    rows = [spark.range(1).select(F.lit(k).alias("id"), F.expr(long.format(v)).alias("probs")) for k, v in enumerate(values)]
+    rows.append(spark.sql("select 5 as id, cast(array() as array<double>) as probs union all select 6, null"))
+    df = evaluate.append(*rows)
+    classes = spark.range(300).selectExpr("cast(id as int) as class_idx", "lpad(conv(cast(id as string), 10, 4), 5, '0') as cell", "1L as n")
+    found = evaluate.ranked_cells(df, classes).select("id", "rank", "class_idx", F.col("prob").cast("string").alias("prob"))
+    wanted = df.select("id", F.inline(scores.top_classes("probs"))).withColumn("prob", F.col("prob").cast("string"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    assert "named_struct" not in plan_of(found) and "lambdafunction" not in plan_of(evaluate.ranked_cells(df.select("id", "probs").coalesce(1), classes)).split("ArrowEvalPython")[0]
