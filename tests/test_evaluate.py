@@ -212,3 +212,16 @@ def test_all_cells_are_ranked_as_by_a_sort_of_pairs(spark):
     wanted = df.select("id", F.inline(scores.top_classes("probs"))).withColumn("prob", F.col("prob").cast("string"))
     assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
     assert "named_struct" not in plan_of(found) and "lambdafunction" not in plan_of(evaluate.ranked_cells(df.select("id", "probs").coalesce(1), classes)).split("ArrowEvalPython")[0]
+
+
+def test_losses_of_long_arrays_are_those_of_short_ones(spark):
+    """Sums in tasks, with the nulls of the expressions; no function per element."""
+    rows = [([0.5, -1.0, 3.0], [0.25, 0.75, 0.0]), ([0.1, None], [0.5, 0.5]), ([0.1, 0.2], [0.5, None]), ([], []), (None, [1.0]), ([math.nan, 1.0], [1.0, 0.0]), ([800.0, 1.0], [0.0, 1.0])]
+    df = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(rows)], "id int, s array<double>, y array<float>").cache()
+    pair = df.select(scores.long_cross_entropy("s", "y").alias("a"), scores.cross_entropy("s", "y").alias("b"))
+    for r in pair.collect():
+        assert (r.a is None and r.b is None) or str(r.a) == str(r.b) or r.a == pytest.approx(r.b)
+    plan = plan_of(pair.select("a"))
+    assert "ArrowEvalPython" in plan and "zip_with" not in plan and "aggregate(" not in plan
+    with pytest.raises(Exception, match="scores of 1 classes against targets of 2"):
+        spark.sql("select array(1D) as s, array(1F, 2F) as y, rand() as r").select(scores.long_cross_entropy("s", "y")).collect()
