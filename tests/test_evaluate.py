@@ -165,6 +165,16 @@ def test_training_blocks_follow_the_number_of_classes(spark, monkeypatch):
     assert abs(usual.coefficientMatrix.toArray() - small.coefficientMatrix.toArray()).max() < 1e-4
 
 
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    """Rows that come from one partition of many would be one task's work in every step."""
+    seen = []
+    monkeypatch.setattr(scoring, "pin", lambda df, put=scoring.pin: seen.append(put(df)) or seen[-1])
+    rows = spark.range(800).selectExpr("cast(id % 2 as int) as class_idx", "array(cast(id % 2 as float), float(id)) as features").coalesce(1)
+    assert scoring.train_classifier(rows, 2, max_iter=2).numClasses == 2
+    shares = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) == spark.sparkContext.defaultParallelism and max(shares) < 2 * min(shares)
+
+
 def test_softmax_of_repeated_scores(spark):
     df = spark.sql("select array(1F, 2F, 0.5F) as s union all select array(1F, null, 0.5F) union all select cast(null as array<float>)")
     for n in (1, 2, 3, 7, 9):
